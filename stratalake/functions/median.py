@@ -2,62 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
+STEPS = 65536
+STEPS_PER_DOUBLING = 256
 
 
 def exact_median(df: DataFrame, column: str) -> float | None:
     """The median of a numeric column, NULL and NaN left out.
 
-    ``F.median`` merges every distinct value into one buffer of one task. Here
-    each pass counts the rows in at most ``BUCKETS`` equal steps between two
-    values, and the next pass looks only inside the step that holds the middle
-    row, until that step holds a single value. A pass scans one column, combines
-    map-side and returns one row. Every pass separates the smallest from the
-    largest value left, so it ends.
+    ``F.median`` merges every distinct value into one buffer of one task. Here a
+    pass counts the rows per step of the value range, finds the step that holds
+    the middle row, and the next pass cuts that step finer, until a step holds a
+    single value. A pass scans one column, combines map-side and returns one row.
+
+    The first pass cuts by magnitude, which needs no knowledge of the range. The
+    others cut between the smallest and the largest value left, which they part
+    from one another every time, so the passes end.
     """
-    x = F.col(column).cast("double")
-    values = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    stats = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
-    rows, low, high = stats
-    if rows == 0:
+    x = F.col("x")
+    values = df.select(F.col(column).cast("double").alias("x")).where(x.isNotNull() & ~F.isnan(x))
+    magnitude = F.signum(x) * F.floor(F.log2(F.abs(x) + 1) * STEPS_PER_DOUBLING)
+    hit = _middle(values, magnitude, None)
+    if hit is None:
         return None
-    first = _value_at(values, (rows - 1) // 2, low, high)
-    if rows % 2 == 1:
-        return first
-    second = _next_value(values, rows // 2, first)
-    return (first + second) / 2
+    rows, above = hit["total"], hit["above"]
+    rank = (rows - 1) // 2 - hit["before"]
+    while hit["lo"] < hit["hi"]:
+        low, high = hit["lo"], hit["hi"]
+        # Halved first: the distance of two doubles can exceed the largest one.
+        place = (x / 2 - low / 2) / F.lit(high / 2 - low / 2)
+        step = F.least(F.floor(place * STEPS), F.lit(STEPS - 1))
+        hit = _middle(values.where(x.between(low, high)), step, rank)
+        rank -= hit["before"]
+        above = hit["above"] if hit["above"] is not None else above
+    first = hit["lo"]
+    second_is_first = rows % 2 == 1 or rank + 1 < hit["n"]
+    return first if second_is_first else (first + above) / 2
 
 
-def _value_at(values: DataFrame, rank: int, low: float, high: float) -> float:
-    while low < high:
-        # Halved first: the distance of two doubles can exceed the largest one.
-        width = high / 2 - low / 2
-        step = F.least(
-            F.floor((F.col("x") / 2 - low / 2) / F.lit(width) * BUCKETS),
-            F.lit(BUCKETS - 1),
-        )
-        hit = (
-            values.where(F.col("x").between(low, high))
-            .groupBy(step.alias("step"))
-            .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-            # At most BUCKETS rows reach this window.
-            .select("n", "lo", "hi", F.expr("sum(n) OVER (ORDER BY step)").alias("through"))
-            .where(F.col("through") > rank)
-            .orderBy("through")
-            .select("lo", "hi", (F.col("through") - F.col("n")).alias("before"))
-            .first()
-        )
-        low, high, rank = hit["lo"], hit["hi"], rank - hit["before"]
-    return low
-
-
-def _next_value(values: DataFrame, rank: int, first: float) -> float:
-    """The value at ``rank``, given the value one row below it."""
-    x = F.col("x")
-    through, above = values.agg(
-        F.count_if(x <= first), F.min(F.when(x > first, x))
-    ).first()
-    return first if through > rank else above
+def _middle(values: DataFrame, step: Column, rank: int | None) -> Row | None:
+    """The step that holds the row at ``rank``, by default the middle one.
+
+    ``before`` counts the rows below the step; ``above`` is the smallest value
+    over it. The windows run over the counts of the steps.
+    """
+    counted = values.groupBy(step.alias("step")).agg(
+        F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
+    )
+    placed = counted.select(
+        "n",
+        "lo",
+        "hi",
+        F.expr("sum(n) OVER (ORDER BY step) - n").alias("before"),
+        F.expr("lead(lo) OVER (ORDER BY step)").alias("above"),
+        F.expr("sum(n) OVER ()").alias("total"),
+    )
+    wanted = F.expr("(total - 1) DIV 2") if rank is None else F.lit(rank)
+    return placed.where((F.col("before") <= wanted) & (wanted < F.col("before") + F.col("n"))).first()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions import exact_sum, round2, safe_ratio
+from stratalake.functions import exact_sum, money, round2, safe_ratio
 from stratalake.operators.reviews import review_totals
 
 ORDER_COLUMNS = [
@@ -86,7 +86,7 @@ def dim_customers(
                 F.coalesce(F.max(c), zero).alias(c)
                 for c in ("total_orders", "delivered_orders", "canceled_orders")
             ],
-            F.sum("paid").cast("double").alias("total_revenue"),
+            money(F.sum("paid")).alias("total_revenue"),
             *[F.max(c).alias(c) for c in ("avg_review_score", "first_order_date", "last_order_date")],
         )
     )
@@ -108,8 +108,8 @@ def dim_customers(
 def dim_products(products: DataFrame, items: DataFrame) -> DataFrame:
     sold = items.groupBy("product_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        exact_sum(F.col("price")).cast("double").alias("total_revenue"),
-        exact_sum(F.col("freight_value")).cast("double").alias("total_freight"),
+        money(exact_sum(F.col("price"))).alias("total_revenue"),
+        money(exact_sum(F.col("freight_value"))).alias("total_freight"),
         F.count_distinct("seller_id").alias("total_sellers"),
     )
     return products.join(sold, "product_id", "left").select(
@@ -124,8 +124,8 @@ def dim_products(products: DataFrame, items: DataFrame) -> DataFrame:
 def dim_sellers(sellers: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
     sold = items.groupBy("seller_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        exact_sum(F.col("price")).cast("double").alias("total_revenue"),
-        exact_sum(F.col("freight_value")).cast("double").alias("total_freight"),
+        money(exact_sum(F.col("price"))).alias("total_revenue"),
+        money(exact_sum(F.col("freight_value"))).alias("total_freight"),
         F.count_distinct("product_id").alias("unique_products"),
     )
     # Each item meets one row of review totals, not each review.
@@ -167,9 +167,9 @@ def order_details(
     price, freight = F.col("price"), F.col("freight_value")
     sold = items.groupBy("order_id").agg(
         F.count_distinct("order_item_id").alias("item_count"),
-        exact_sum(price).alias("total_price"),
-        exact_sum(freight).alias("total_freight"),
-        exact_sum(price + freight).alias("total_order_value"),
+        money(exact_sum(price)).alias("total_price"),
+        money(exact_sum(freight)).alias("total_freight"),
+        money(exact_sum(price + freight)).alias("total_order_value"),
         F.count_distinct("product_id").alias("unique_products"),
         F.count_distinct("seller_id").alias("unique_sellers"),
     )
@@ -192,10 +192,10 @@ def order_details(
         .select(
             *ORDER_COLUMNS,
             F.coalesce("item_count", zero).alias("item_count"),
-            *[F.col(c).cast("double").alias(c) for c in amounts],
+            *amounts,
             F.coalesce("unique_products", zero).alias("unique_products"),
             F.coalesce("unique_sellers", zero).alias("unique_sellers"),
-            F.coalesce(F.col("paid").cast("double"), F.lit(0.0)).alias("total_payment"),
+            F.coalesce(money(F.col("paid")), F.lit(0.0)).alias("total_payment"),
             F.coalesce(F.array_size("payment_types"), zero).alias("payment_method_count"),
             "payment_types",
             F.coalesce("avg_score", F.lit(0.0)).alias("avg_review_score"),

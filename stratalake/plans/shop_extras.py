@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions import round2
+from stratalake.functions import exact_sum, money, round2
 from stratalake.operators.ranking import rank_in_group
 from stratalake.plans import gold
 
@@ -20,9 +20,9 @@ def int_order_details(
 
 def int_customer_orders(customers: DataFrame, details: DataFrame) -> DataFrame:
     """Per customer: orders, value of the ordered items, first and last order."""
-    value = F.col("total_order_value").cast("decimal(18,4)")
+    value = F.col("total_order_value")
     per_order = details.groupBy("customer_id", "order_id").agg(
-        F.sum(value).alias("value"),
+        exact_sum(value).alias("value"),
         F.min("order_purchase_timestamp").alias("first_at"),
         F.max("order_purchase_timestamp").alias("last_at"),
     )
@@ -39,7 +39,7 @@ def int_customer_orders(customers: DataFrame, details: DataFrame) -> DataFrame:
         .groupBy(*grain)
         .agg(
             F.coalesce(F.max("total_orders"), F.lit(0)).alias("total_orders"),
-            F.sum("value").cast("double").alias("total_revenue"),
+            money(F.sum("value")).alias("total_revenue"),
             F.max("first_order_date").alias("first_order_date"),
             F.max("last_order_date").alias("last_order_date"),
         )
@@ -59,7 +59,7 @@ def priced_items(items: DataFrame) -> DataFrame:
 def category_performance(items: DataFrame, products: DataFrame) -> DataFrame:
     """Gold product metrics rolled up to the English category."""
     sold = gold.dim_products(products, items)
-    revenue = F.sum(F.col("total_revenue").cast("decimal(18,4)")).cast("double")
+    revenue = money(exact_sum(F.col("total_revenue")))
     return sold.groupBy("product_category_english").agg(
         F.count("*").alias("products"),
         revenue.alias("total_revenue"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratalake.functions import MONEY, exact_sum, round2
+from stratalake.functions import exact_sum, money, round2, sum_units, units
 from stratalake.operators.reviews import review_totals
 
 TOP = 10
@@ -26,8 +26,8 @@ def _share(part: str, df: DataFrame):
     The total is a one-row aggregate over the same groups, so no window has to
     pull all groups into one task.
     """
-    total = df.agg(F.sum(part)).scalar()
-    return round2(F.col(part).cast("double") * 100.0 / total.cast("double"))
+    total = df.agg(F.sum(part).cast("double")).scalar()
+    return round2(F.col(part).cast("double") * 100.0 / total)
 
 
 def _sold_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def category_top_sold(items: DataFrame, products: DataFrame) -> DataFrame:
         .select(
             CATEGORY,
             F.col("items").alias("total_items_sold"),
-            F.col("revenue").cast("double").alias("total_revenue"),
+            money(F.col("revenue")).alias("total_revenue"),
         )
         .orderBy(F.desc("total_items_sold"), CATEGORY)
         .limit(TOP)
@@ -56,7 +56,7 @@ def category_top_sold(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def category_top_revenue(items: DataFrame, products: DataFrame) -> DataFrame:
-    revenue = F.col("revenue").cast("double")
+    revenue = money(F.col("revenue"))
     return (
         _sold_by_category(items, products)
         .select(
@@ -74,7 +74,7 @@ def category_revenue_share(items: DataFrame, products: DataFrame) -> DataFrame:
     sold = _sold_by_category(items, products).select(CATEGORY, "revenue")
     return sold.select(
         CATEGORY,
-        F.col("revenue").cast("double").alias("total_revenue"),
+        money(F.col("revenue")).alias("total_revenue"),
         _share("revenue", sold).alias("pct_of_total_revenue"),
     ).orderBy(F.desc("total_revenue"), CATEGORY)
 
@@ -89,7 +89,7 @@ def seller_top_revenue(items: DataFrame, sellers: DataFrame) -> DataFrame:
         .groupBy("seller_id", "seller_city", "seller_state")
         .agg(
             F.max("total_orders").alias("total_orders"),
-            F.sum("revenue").cast("double").alias("total_revenue"),
+            money(F.sum("revenue")).alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "seller_id")
         .limit(TOP)
@@ -117,7 +117,7 @@ def seller_rank_in_state(items: DataFrame, sellers: DataFrame, top: int = 3) ->
         .select(
             "seller_state",
             "seller_id",
-            F.col("revenue").cast("double").alias("total_revenue"),
+            money(F.col("revenue")).alias("total_revenue"),
             "rank_in_state",
         )
         .orderBy("seller_state", "rank_in_state", "seller_id")
@@ -126,7 +126,7 @@ def seller_rank_in_state(items: DataFrame, sellers: DataFrame, top: int = 3) ->
 
 def seller_state_summary(items: DataFrame, sellers: DataFrame) -> DataFrame:
     # One row per state and seller, so counting rows counts distinct sellers.
-    total = F.sum("revenue").cast("double")
+    total = money(F.sum("revenue"))
     return (
         _revenue_by_seller(items, sellers)
         .groupBy("seller_state")
@@ -219,7 +219,7 @@ def product_top_sold(items: DataFrame, products: DataFrame, reviews: DataFrame)
         .groupBy("product_id")
         .agg(
             F.sum(times).alias("sold"),
-            F.sum(F.col("price").cast(MONEY) * times.cast("decimal(10,0)")).alias("revenue"),
+            sum_units(units(F.col("price")) * times).alias("revenue"),
             F.sum("score_sum").alias("score_sum"),
             F.sum("score_count").alias("score_count"),
         )
@@ -230,7 +230,7 @@ def product_top_sold(items: DataFrame, products: DataFrame, reviews: DataFrame)
         .groupBy("product_id", CATEGORY)
         .agg(
             F.sum("sold").alias("total_items_sold"),
-            F.sum("revenue").cast("double").alias("total_revenue"),
+            money(F.sum("revenue")).alias("total_revenue"),
             round2(F.try_divide(F.sum("score_sum"), F.sum("score_count"))).alias("avg_review_score"),
         )
         .orderBy(F.desc("total_items_sold"), "product_id")
@@ -241,7 +241,7 @@ def product_top_sold(items: DataFrame, products: DataFrame, reviews: DataFrame)
 def monthly_revenue_trend(orders: DataFrame, items: DataFrame) -> DataFrame:
     sold = items.groupBy("order_id").agg(exact_sum(F.col("price")).alias("revenue"))
     month = F.trunc("order_purchase_timestamp", "MM").alias("order_month")
-    revenue = F.sum("revenue").cast("double")
+    revenue = money(F.sum("revenue"))
     return (
         orders.where(~F.col("order_status").isin("unavailable", "canceled"))
         .select("order_id", month)

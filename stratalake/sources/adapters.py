@@ -11,8 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from stratalake.sources.files import SNAPSHOT_SCHEMA
+from pyspark.sql.types import StructType
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -190,10 +189,20 @@ def _reads(text: str) -> list[str]:
     return [name for name in (*BASE_TABLES, *VIEWS) if name in found]
 
 
+_schemas: dict[str, StructType] = {}
+
+
+def base_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table; its footers are read once per session, not once per query."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base table or adapter view of one data folder."""
     if name in BASE_TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return base_table(spark, f"{sf_dir}/{name}.parquet")
     text = VIEWS[name]
     parts = {n: view(spark, sf_dir, n) for n in _reads(text)}
     for n in parts:
@@ -201,47 +210,55 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **parts)
 
 
-def snapshot_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flights as JSON snapshot lines of one 17-element state array each.
-
-    Every 19th event has no time, every 23rd no callsign, every 29th no states.
-    """
-    events = view(spark, sf_dir, "events").join(
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "events").join(
         view(spark, sf_dir, "nation"), F.expr("user_id % 25 = n_nationkey")
     )
-    null = F.lit("null")
-    every = F.col("event_id")
-
-    def quoted(c):
-        return F.concat(F.lit('"'), c, F.lit('"'))
-
-    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)").cast("string")
-    number = F.col("value").cast("string")
-    state = F.concat_ws(
-        ",",
-        quoted(F.col("user_id").cast("string")),
-        F.when(every % 23 == 0, null).otherwise(quoted(F.concat("event_type", F.lit("  ")))),
-        quoted(F.col("n_name")),
-        null,
-        F.when(every % 19 == 0, null).otherwise(seconds),
-        number,
-        F.when(every % 17 == 0, null).otherwise((F.col("value") / 2).cast("string")),
-        F.when(every % 10 == 0, null).otherwise((F.col("value") * 30).cast("string")),
-        F.when(F.col("event_type") == "error", "true").otherwise("false"),
-        number,
-        (F.col("user_id") % 360).cast("string"),
-        (F.col("value") - 10).cast("string"),
-        null,
-        (F.col("value") * 31).cast("string"),
-        null,
-        F.lit("false"),
-        F.lit("0"),
-    )
-    states = F.concat(F.lit('{"time":'), seconds, F.lit(',"states":[['), state, F.lit("]]}"))
-    empty = F.concat(F.lit('{"time":'), seconds, F.lit("}"))
-    return events.select(F.when(every % 29 == 0, empty).otherwise(states).alias("value"))
+
+
+_SECONDS = "timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
+
+# The 17 places of a state array: every 19th event has no time, every 23rd no callsign.
+_STATE = [
+    "CAST(user_id AS STRING)",
+    "CASE WHEN event_id % 23 <> 0 THEN concat(event_type, '  ') END",
+    "n_name",
+    None,
+    f"CASE WHEN event_id % 19 <> 0 THEN {_SECONDS} END",
+    "value",
+    "CASE WHEN event_id % 17 <> 0 THEN value / 2 END",
+    "CASE WHEN event_id % 10 <> 0 THEN value * 30 END",
+    "event_type = 'error'",
+    "value",
+    "user_id % 360",
+    "value - 10",
+    None,
+    "value * 31",
+    None,
+    "false",
+    "0",
+]
+_QUOTED = (0, 1, 2)
+_STATED = "event_id % 29 <> 0"
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = F.from_json("value", SNAPSHOT_SCHEMA).alias("snapshot")
-    return snapshot_json(spark, sf_dir).select(parsed).select("snapshot.*")
+    """Flights as snapshots of one state array each; every 29th has no states."""
+    places = ", ".join(f"CAST({place or 'NULL'} AS STRING)" for place in _STATE)
+    states = f"CASE WHEN {_STATED} THEN array(array({places})) END AS states"
+    return _events(spark, sf_dir).selectExpr(f"{_SECONDS} AS time", states)
+
+
+def snapshot_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same snapshots as JSON text, with numbers, booleans and nulls in the arrays."""
+
+    def literal(i: int, place: str | None) -> str:
+        text = f"CAST({place or 'NULL'} AS STRING)"
+        if i in _QUOTED:
+            text = f"concat('\"', {text}, '\"')"
+        return f"coalesce({text}, 'null')"
+
+    places = ", ',', ".join(literal(i, place) for i, place in enumerate(_STATE))
+    full = f"""concat('{{"time":', {_SECONDS}, ',"states":[[', {places}, ']]}}')"""
+    empty = f"""concat('{{"time":', {_SECONDS}, '}}')"""
+    return _events(spark, sf_dir).selectExpr(f"CASE WHEN {_STATED} THEN {full} ELSE {empty} END AS value")
