@@ -10,6 +10,7 @@ from stratalake.functions.columns import (  # noqa: F401
     non_negative,
     round2,
     safe_ratio,
+    seconds_between,
     strip,
     sum_units,
     to_boolean,

@@ -79,6 +79,11 @@ def epoch_to_ts(seconds: Column) -> Column:
     return epoch + F.make_dt_interval(secs=seconds)
 
 
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds; TIMESTAMPDIFF would go through the session time zone."""
+    return (end - start).cast("interval second").cast("bigint")
+
+
 def initcap_words(c: Column) -> Column:
     """Upper-case the first letter after every character that is no ASCII letter or digit.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.functions import seconds_between
+
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
@@ -40,7 +42,7 @@ def freshness(
     A table without any value is in error.
     """
     newest = df.agg(F.max(column).cast("timestamp_ntz").alias("newest"))
-    seconds = F.expr("timestampdiff(SECOND, newest, checked_at)")
+    seconds = seconds_between(F.col("newest"), F.col("checked_at"))
     aged = newest.withColumn("checked_at", now.cast("timestamp_ntz")).withColumn(
         "age_hours", seconds / 3600.0
     )

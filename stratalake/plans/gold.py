@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import exact_sum, money, round2, safe_ratio
+from stratalake.operators.grouping import totals_and_distincts
 from stratalake.operators.reviews import review_totals
 
 ORDER_COLUMNS = [
@@ -105,13 +106,16 @@ def dim_customers(
     )
 
 
-def dim_products(products: DataFrame, items: DataFrame) -> DataFrame:
-    sold = items.groupBy("product_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
+def sales_totals(items: DataFrame, key: str, **distinct: str) -> DataFrame:
+    amounts = [
         money(exact_sum(F.col("price"))).alias("total_revenue"),
         money(exact_sum(F.col("freight_value"))).alias("total_freight"),
-        F.count_distinct("seller_id").alias("total_sellers"),
-    )
+    ]
+    return totals_and_distincts(items, key, amounts, **distinct)
+
+
+def dim_products(products: DataFrame, items: DataFrame) -> DataFrame:
+    sold = sales_totals(items, "product_id", total_orders="order_id", total_sellers="seller_id")
     return products.join(sold, "product_id", "left").select(
         *products.columns,
         F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
@@ -122,12 +126,7 @@ def dim_products(products: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def dim_sellers(sellers: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
-    sold = items.groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        money(exact_sum(F.col("price"))).alias("total_revenue"),
-        money(exact_sum(F.col("freight_value"))).alias("total_freight"),
-        F.count_distinct("product_id").alias("unique_products"),
-    )
+    sold = sales_totals(items, "seller_id", total_orders="order_id", unique_products="product_id")
     # Each item meets one row of review totals, not each review.
     scored = (
         items.select("order_id", "seller_id")
@@ -161,17 +160,20 @@ def order_details(
 ) -> DataFrame:
     """One row per order with item, payment and review totals, canceled ones included.
 
-    Every join is on ``order_id`` between sides already aggregated by it. An
-    order loaded twice counts its items twice and stays one row.
+    Every join is on ``order_id`` between sides already aggregated by it.
     """
     price, freight = F.col("price"), F.col("freight_value")
-    sold = items.groupBy("order_id").agg(
-        F.count_distinct("order_item_id").alias("item_count"),
-        money(exact_sum(price)).alias("total_price"),
-        money(exact_sum(freight)).alias("total_freight"),
-        money(exact_sum(price + freight)).alias("total_order_value"),
-        F.count_distinct("product_id").alias("unique_products"),
-        F.count_distinct("seller_id").alias("unique_sellers"),
+    sold = totals_and_distincts(
+        items,
+        "order_id",
+        [
+            money(exact_sum(price)).alias("total_price"),
+            money(exact_sum(freight)).alias("total_freight"),
+            money(exact_sum(price + freight)).alias("total_order_value"),
+        ],
+        item_count="order_item_id",
+        unique_products="product_id",
+        unique_sellers="seller_id",
     )
     joined = (
         orders.select(*ORDER_COLUMNS)
@@ -179,28 +181,24 @@ def order_details(
         .join(payment_totals(payments), "order_id", "left")
         .join(review_averages(reviews), "order_id", "left")
     )
-    counts = ("item_count", "unique_products", "unique_sellers")
-    amounts = ("total_price", "total_freight", "total_order_value")
+    # An order loaded twice stays one row and counts its items twice. Grouping by
+    # whole rows needs no shuffle after the joins, and hashes instead of sorting.
+    loaded = joined.groupBy(*joined.columns).agg(F.count("*").alias("copies"))
     zero = F.lit(0)
-    return (
-        joined.groupBy(*ORDER_COLUMNS)
-        .agg(
-            *[F.max(c).alias(c) for c in counts],
-            *[F.sum(c).alias(c) for c in amounts],
-            *[F.any_value(c).alias(c) for c in ("paid", "payment_types", "avg_score", "review_count")],
-        )
-        .select(
-            *ORDER_COLUMNS,
-            F.coalesce("item_count", zero).alias("item_count"),
-            *amounts,
-            F.coalesce("unique_products", zero).alias("unique_products"),
-            F.coalesce("unique_sellers", zero).alias("unique_sellers"),
-            F.coalesce(money(F.col("paid")), F.lit(0.0)).alias("total_payment"),
-            F.coalesce(F.array_size("payment_types"), zero).alias("payment_method_count"),
-            "payment_types",
-            F.coalesce("avg_score", F.lit(0.0)).alias("avg_review_score"),
-            F.coalesce("review_count", zero).alias("review_count"),
-        )
+    return loaded.select(
+        *ORDER_COLUMNS,
+        F.coalesce("item_count", zero).alias("item_count"),
+        *[
+            (F.col(c) * F.col("copies")).alias(c)
+            for c in ("total_price", "total_freight", "total_order_value")
+        ],
+        F.coalesce("unique_products", zero).alias("unique_products"),
+        F.coalesce("unique_sellers", zero).alias("unique_sellers"),
+        F.coalesce(money(F.col("paid")), F.lit(0.0)).alias("total_payment"),
+        F.coalesce(F.array_size("payment_types"), zero).alias("payment_method_count"),
+        "payment_types",
+        F.coalesce("avg_score", F.lit(0.0)).alias("avg_review_score"),
+        F.coalesce("review_count", zero).alias("review_count"),
     )
 
 

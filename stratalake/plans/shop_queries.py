@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratalake.functions import exact_sum, money, round2, sum_units, units
+from stratalake.operators.grouping import totals_and_distincts
 from stratalake.operators.reviews import review_totals
 
 TOP = 10
@@ -80,9 +81,8 @@ def category_revenue_share(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def seller_top_revenue(items: DataFrame, sellers: DataFrame) -> DataFrame:
-    sold = items.groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("total_orders"), exact_sum(F.col("price")).alias("revenue")
-    )
+    revenue = exact_sum(F.col("price")).alias("revenue")
+    sold = totals_and_distincts(items, "seller_id", [revenue], total_orders="order_id")
     return (
         sellers.select("seller_id", "seller_city", "seller_state")
         .join(sold, "seller_id")

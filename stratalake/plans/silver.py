@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions import clamp, initcap_words, non_negative
+from stratalake.functions import clamp, initcap_words, non_negative, seconds_between
 
 
 def dim_customers(customers: DataFrame) -> DataFrame:
@@ -42,9 +42,7 @@ def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
 
 def fact_orders(orders: DataFrame) -> DataFrame:
     status = F.col("order_status")
-    seconds = F.expr(
-        "timestampdiff(SECOND, order_purchase_timestamp, order_approved_at)"
-    )
+    seconds = seconds_between(F.col("order_purchase_timestamp"), F.col("order_approved_at"))
     return orders.select(
         "order_id",
         "customer_id",

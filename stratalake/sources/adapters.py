@@ -216,7 +216,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SECONDS = "timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
+_SECONDS = "CAST(CAST(ts - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND) AS BIGINT)"
 
 # The 17 places of a state array: every 19th event has no time, every 23rd no callsign.
 _STATE = [
