@@ -195,7 +195,7 @@ def order_details(
         F.coalesce("unique_products", zero).alias("unique_products"),
         F.coalesce("unique_sellers", zero).alias("unique_sellers"),
         F.coalesce(money(F.col("paid")), F.lit(0.0)).alias("total_payment"),
-        F.coalesce(F.array_size("payment_types"), zero).alias("payment_method_count"),
+        F.coalesce(F.array_size("payment_types"), zero).cast("bigint").alias("payment_method_count"),
         "payment_types",
         F.coalesce("avg_score", F.lit(0.0)).alias("avg_review_score"),
         F.coalesce("review_count", zero).alias("review_count"),

@@ -1,0 +1,128 @@
+"""Messy CSV files through the readers and the raw jobs."""
+
+import datetime
+
+from stratalake.plans import raw
+from stratalake.sources.files import read_csv, snake_header
+
+ts = datetime.datetime
+
+
+def write(tmp_path, name, text, bom=False):
+    path = tmp_path / name
+    path.write_bytes((b"\xef\xbb\xbf" if bom else b"") + text.encode())
+    return str(path)
+
+
+def test_customers(spark, tmp_path):
+    path = write(
+        tmp_path, "customers.csv",
+        "customer_id, Customer_Unique_ID ,customer_zip_code_prefix,customer_city,customer_state\n"
+        "1,u1,01310,\t sao paulo  ,SP\n"
+        "1,u1,01310,\t sao paulo  ,SP\n"
+        "1,u1,01310, sao paulo,SP\n"
+        "2,u2,x,NA,\n"
+        "null,u3,,rio,RJ\n",
+        bom=True,
+    )
+    df = read_csv(spark, path)
+    assert df.columns[:2] == ["customer_id", "customer_unique_id"]
+    assert sorted(tuple(r) for r in raw.customers(df).collect()) == [
+        ("1", "u1", 1310, "sao paulo", "SP"),
+        ("1", "u1", 1310, "sao paulo", "SP"),  # differed in white space alone
+        ("2", "u2", 0, "unknown", "unknown"),
+        ("unknown", "u3", 0, "rio", "RJ"),
+    ]
+
+
+def test_sellers(spark, tmp_path):
+    path = write(
+        tmp_path, "s.csv",
+        "seller_id,seller_zip_code_prefix,seller_city,seller_state\n a ,5.0,,\n,7,x,y\n",
+    )
+    assert sorted(tuple(r) for r in raw.sellers(read_csv(spark, path)).collect()) == [
+        ("a", 5, "unknown", "unknown"), ("unknown", 7, "x", "y"),
+    ]
+
+
+def test_products(spark, tmp_path):
+    path = write(
+        tmp_path, "p.csv",
+        "product_id,product_category_name,extra,product_weight_g,product_length_cm,"
+        "product_height_cm,product_width_cm\n"
+        "p1,,z,12.7,,3,4\np2,toys,z,abc,1e2,3,4\n,toys,z,1,1,1,1\n",
+    )
+    assert sorted(tuple(r) for r in raw.products(read_csv(spark, path)).collect()) == [
+        ("p1", "unknown", 12, 0, 3, 4), ("p2", "toys", 0, 100, 3, 4),
+    ]
+
+
+def test_orders(spark, tmp_path):
+    head = (
+        "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
+        "order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date\n"
+    )
+    when = "2018-01-02 03:04:05"
+    path = write(
+        tmp_path, "o.csv",
+        head
+        + f"o1,c1, shipped ,{when},,,,{when}\n"
+        + f"o2,c1,shipped,soon,{when},,,{when}\n"
+        + f",c1,shipped,{when},{when},,,{when}\n"
+        + f"o4,,shipped,{when},2018-01-02,{when},{when},{when}\n",
+    )
+    t = ts(2018, 1, 2, 3, 4, 5)
+    assert sorted((tuple(r) for r in raw.orders(read_csv(spark, path)).collect()), key=str) == [
+        ("o1", "c1", "shipped", t, None, None, None, t),
+        ("o4", None, "shipped", t, None, t, t, t),
+    ]
+
+
+def test_items_and_payments(spark, tmp_path):
+    items = write(
+        tmp_path, "i.csv",
+        "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+        "o1,1,p1,s1,2018-01-01 00:00:00,10.5,x\no1,two,p1,s1,,10.5,1\n,3,p1,s1,2018-01-01 00:00:00,,\n",
+    )
+    t = ts(2018, 1, 1)
+    assert sorted((tuple(r) for r in raw.order_items(read_csv(spark, items)).collect()), key=str) == [
+        ("o1", 1, "p1", "s1", t, 10.5, 0.0), (None, 3, "p1", "s1", t, 0.0, 0.0),
+    ]
+    pay = write(
+        tmp_path, "pay.csv",
+        "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+        "o1,1, boleto,,9.99\no2,x,voucher,2,free\n",
+    )
+    assert sorted(tuple(r) for r in raw.payments(read_csv(spark, pay)).collect()) == [
+        ("o1", 1, "boleto", 0, 9.99), ("o2", 0, "voucher", 2, 0.0),
+    ]
+
+
+def test_reviews_with_line_breaks(spark, tmp_path):
+    path = write(
+        tmp_path, "r.csv",
+        "review_id,order_id,review_score,review_comment_title,review_comment_message,"
+        "review_creation_date,review_answer_timestamp\n"
+        'r1,o1,,,"good, said ""he""\nbye",2018-01-01 00:00:00,\n'
+        "r2,o1,6,hi,,2018-01-01 00:00:00,2018-01-02 00:00:00\n"
+        "r3,o1,0,hi,,,\n"
+        ",o1,3,hi,,2018-01-01 00:00:00,\n",
+    )
+    got = raw.reviews(read_csv(spark, path, multi_line=True)).collect()
+    t = ts(2018, 1, 1)
+    assert sorted((tuple(r) for r in got), key=str) == [
+        ("r1", "o1", 0, "", 'good, said "he"\nbye', t, None),
+        ("r2", "o1", 6, "hi", "", t, ts(2018, 1, 2)),
+    ]
+
+
+def test_translation_file(spark, tmp_path):
+    text = "product_category_name,product_category_name_english\nbeleza,beauty\nartes,arts"
+    got = raw.categories(read_csv(spark, write(tmp_path, "t.csv", text, bom=True))).collect()
+    assert sorted(tuple(r) for r in got) == [("artes", "arts"), ("beleza", "beauty")]
+
+
+def test_snake_header():
+    assert [snake_header(h) for h in (" Start Date", "Bonus %", "Team ")] == [
+        "start_date", "bonus_percent", "team",
+    ]
