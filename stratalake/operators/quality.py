@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import seconds_between
+from stratalake.operators.joins import SPREAD, spread_join
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -26,7 +27,7 @@ def accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose key, where there is one, is missing in the parent."""
     keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    return spread_join(child.where(F.col(column).isNotNull()), keys, column, "left_anti").drop(SPREAD)
 
 
 def rows_where(df: DataFrame, failing: Column, *columns: str) -> DataFrame:

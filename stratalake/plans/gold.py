@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import exact_sum, money, round2, safe_ratio
 from stratalake.operators.grouping import totals_and_distincts
+from stratalake.operators.joins import spread_join
 from stratalake.operators.reviews import review_totals
 
 ORDER_COLUMNS = [
@@ -129,8 +130,7 @@ def dim_sellers(sellers: DataFrame, items: DataFrame, reviews: DataFrame) -> Dat
     sold = sales_totals(items, "seller_id", total_orders="order_id", unique_products="product_id")
     # Each item meets one row of review totals, not each review.
     scored = (
-        items.select("order_id", "seller_id")
-        .join(review_totals(reviews), "order_id")
+        spread_join(items.select("order_id", "seller_id"), review_totals(reviews), "order_id")
         .groupBy("seller_id")
         .agg(
             round2(F.try_divide(F.sum("score_sum"), F.sum("score_count"))).alias("avg_customer_review"),

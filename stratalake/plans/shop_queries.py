@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import exact_sum, money, round2, sum_units, units
 from stratalake.operators.grouping import totals_and_distincts
+from stratalake.operators.joins import SPREAD, spread_join
 from stratalake.operators.reviews import review_totals
 
 TOP = 10
@@ -150,8 +151,7 @@ def category_worst_reviewed(
     reviews: DataFrame, items: DataFrame, products: DataFrame, at_least: int = 30
 ) -> DataFrame:
     scored = (
-        items.select("order_id", "product_id")
-        .join(review_totals(reviews), "order_id")
+        spread_join(items.select("order_id", "product_id"), review_totals(reviews), "order_id")
         .groupBy("product_id")
         .agg(*[F.sum(c).alias(c) for c in ("reviews", "score_sum", "score_count")])
     )
@@ -190,9 +190,8 @@ def seller_worst_reviewed(
     # The join leaves rows partitioned by order, which serves the grouping by
     # seller and order; after it, counting rows counts distinct orders.
     scored = (
-        items.select("order_id", "seller_id")
-        .join(review_totals(reviews), "order_id")
-        .groupBy("seller_id", "order_id")
+        spread_join(items.select("order_id", "seller_id"), review_totals(reviews), "order_id")
+        .groupBy("seller_id", "order_id", SPREAD)
         .agg(*[F.sum(c).alias(c) for c in sums])
         .groupBy("seller_id")
         .agg(F.count("*").alias("total_orders"), *[F.sum(c).alias(c) for c in sums])
@@ -214,8 +213,9 @@ def product_top_sold(items: DataFrame, products: DataFrame, reviews: DataFrame)
     # An item counts once per review of its order, and once if there is none.
     times = F.coalesce("reviews", F.lit(1))
     sold = (
-        items.select("order_id", "product_id", "price")
-        .join(review_totals(reviews), "order_id", "left")
+        spread_join(
+            items.select("order_id", "product_id", "price"), review_totals(reviews), "order_id", "left"
+        )
         .groupBy("product_id")
         .agg(
             F.sum(times).alias("sold"),

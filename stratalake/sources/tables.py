@@ -25,8 +25,14 @@ def with_month(df: DataFrame, column: str) -> DataFrame:
 
 
 def clustered(df: DataFrame, *keys: str) -> DataFrame:
-    """Range-partitioned and sorted, so files and row groups cover narrow key ranges."""
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    """Range-partitioned and sorted, so files and row groups cover narrow key ranges.
+
+    Rows of one key may come from many input partitions; ranging over those last
+    lets a hot key, even of equal rows, spread over several tasks and files.
+    """
+    origin = "_origin"
+    spread = df.withColumn(origin, F.spark_partition_id())
+    return spread.repartitionByRange(*keys, origin).sortWithinPartitions(*keys).drop(origin)
 
 
 def laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -58,7 +64,9 @@ def load_audit(source: DataFrame, target: DataFrame) -> DataFrame:
     return offered.withColumn("rows_in_table", target.agg(F.count("*")).scalar())
 
 
-def replace_table(spark: SparkSession, df: DataFrame, table: str) -> None:
+def replace_table(
+    spark: SparkSession, df: DataFrame, table: str, sort_by: tuple[str, ...] = ()
+) -> None:
     """Build beside the old table, then swap names.
 
     ``df`` may read the table it replaces: the old files stay in place until the
@@ -66,7 +74,7 @@ def replace_table(spark: SparkSession, df: DataFrame, table: str) -> None:
     """
     staged, backup = f"{table}__next", f"{table}__backup"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    df.write.saveAsTable(staged, format="parquet")
+    (clustered(df, *sort_by) if sort_by else df).write.saveAsTable(staged, format="parquet")
     spark.sql(f"DROP TABLE IF EXISTS {backup}")
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
@@ -79,10 +87,10 @@ def upsert_table(
 ) -> None:
     """Replace the rows of every key in ``new``; a first run just writes them."""
     if not spark.catalog.tableExists(table):
-        replace_table(spark, new, table)
+        replace_table(spark, new, table, (key,))
         return
     old = spark.table(table)
-    replace_table(spark, replace_by_key(old, new, key, purge_missing), table)
+    replace_table(spark, replace_by_key(old, new, key, purge_missing), table, (key,))
 
 
 def as_view(df: DataFrame, name: str) -> None:

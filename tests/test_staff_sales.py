@@ -1,0 +1,72 @@
+import datetime
+import decimal
+
+from stratalake.plans import employees, sales
+from stratalake.sources.files import read_csv, snake_header
+
+CSV = """First Name,Gender, Start Date,Salary,Bonus %,Senior Management,Team
+Ann, female ,8/6/1993,49999.99,6.5,true,Sales
+Bob,Male,3/31/1996,50000,,false,
+Cid,,not a date,100000,x,,Sales
+Dee,Female,1/1/2000,,1,TRUE,Sales
+"""
+
+
+def test_employees(spark, tmp_path):
+    (tmp_path / "e.csv").write_text(CSV)
+    source = read_csv(spark, str(tmp_path / "e.csv"), header=snake_header)
+    assert source.columns == [
+        "first_name", "gender", "start_date", "salary", "bonus_percent", "senior_management", "team",
+    ]
+    clean = employees.employees_clean(source)
+    rows = {r["first_name"]: r for r in clean.collect()}
+    assert [rows[n]["salary"] for n in ("Ann", "Bob", "Cid", "Dee")] == [49999.99, 50000.0, 100000.0, 50000.0]
+    assert [rows[n]["kategori_gaji"] for n in ("Ann", "Bob", "Cid", "Dee")] == [
+        "Rendah", "Menengah", "Tinggi", "Menengah",
+    ]
+    assert [rows[n]["bonus_percent"] for n in ("Ann", "Bob", "Cid")] == [6.5, 0.0, 0.0]
+    assert [rows[n]["gender"] for n in ("Ann", "Bob", "Cid")] == ["FEMALE", "MALE", None]
+    assert [rows[n]["senior_management"] for n in ("Ann", "Bob", "Cid", "Dee")] == [True, False, None, True]
+    assert rows["Ann"]["start_date"] == datetime.datetime(1993, 8, 6) and rows["Ann"]["start_year"] == 1993
+    assert rows["Cid"]["start_date"] is None and rows["Cid"]["start_year"] is None
+    assert [tuple(r) for r in employees.salary_band_summary(clean).collect()] == [
+        ("Tinggi", 1, 100000.0), ("Menengah", 2, 50000.0), ("Rendah", 1, 49999.99),
+    ]
+    assert [tuple(r) for r in employees.team_summary(clean).collect()] == [
+        ("Sales", 3, 66666.66), (None, 1, 50000.0),
+    ]
+    assert [r["first_name"] for r in employees.employees_preview(clean, 2).collect()] == ["Ann", "Bob"]
+    assert employees.employees_count(clean).first()["total_data"] == 4
+
+
+def test_employees_without_any_salary(spark):
+    df = spark.createDataFrame(
+        [("A", "F", "1/1/2000", None, None, None, "T")],
+        "first_name string, gender string, start_date string, salary string, bonus_percent string, "
+        "senior_management string, team string",
+    )
+    row = employees.employees_clean(df).first()
+    assert row["salary"] is None and row["kategori_gaji"] == "Tinggi"
+
+
+def test_sales_seed(spark):
+    def day(d):
+        return datetime.date(2026, 8, d)
+
+    customers = spark.createDataFrame(
+        [(1, "Budi", "Jakarta"), (2, "Andi", "Bandung"), (3, "Siti", "Surabaya")],
+        "customer_id int, name string, city string")
+    products = spark.createDataFrame(
+        [(1, "Laptop", decimal.Decimal(10000000)), (2, "Mouse", decimal.Decimal(300000)),
+         (3, "Keyboard", decimal.Decimal(500000))],
+        "product_id int, product_name string, price decimal(12,2)")
+    orders = spark.createDataFrame([(1, 1, day(1)), (2, 2, day(2)), (3, 3, day(3))],
+                                   "order_id int, customer_id int, order_date date")
+    items = spark.createDataFrame([(1, 1, 1), (2, 2, 2), (3, 3, 1)],
+                                  "order_id int, product_id int, quantity int")
+    got = sales.sales_wide(orders, customers, items, products)
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (1, day(1), "Budi", "Jakarta", "Laptop", decimal.Decimal(10000000), 1),
+        (2, day(2), "Andi", "Bandung", "Mouse", decimal.Decimal(300000), 2),
+        (3, day(3), "Siti", "Surabaya", "Keyboard", decimal.Decimal(500000), 1),
+    ]
