@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from stratalake.functions.columns import NA_TOKENS
-from stratalake.sources.adapters import BASE_TABLES, VIEWS
+from stratalake.sources.adapters import VIEWS
 
 _NA = "(" + ", ".join(f"'{t}'" for t in NA_TOKENS) + ")"
 
