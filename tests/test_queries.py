@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from oracle import sql as checks
+from stratalake import catalog
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-CHECKS = entry.oracle_sql()
+QUERIES = catalog.queries()
+CHECKS = checks.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +27,11 @@ def test_query(spark, con, name):
     assert message is None, message
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(CHECKS) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0
