@@ -17,6 +17,7 @@ and read again as the next one's ``docs``. All but the last return the columns o
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.llm import mixing, pieces, quality_rules, repeats, sentencepiece_codec, simhash
 from stratalake.llm.common import Scratch, column, table
@@ -34,7 +35,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repeats.without_repeats(docs, Scratch(prepare(spark), "repeats"))
+    cut = repeats.without_repeats(docs, Scratch(prepare(spark), "repeats"))
+    return cut.withColumn("n_chars", F.when(column("text").isNotNull(), F.length(column("text")).cast("long")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

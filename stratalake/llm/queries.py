@@ -11,6 +11,7 @@ from stratalake.llm import (
     mixing,
     pieces,
     quality_rules,
+    repeats,
     sentencepiece_codec,
     simhash,
     token_counts,
@@ -62,6 +63,11 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.RESULT)
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.find_repeats(table(prepare(spark), sf_dir, "documents"), Scratch(spark, "repeats"))
+    return found.select("doc_id", "begin", "end", "n_words", "n_cut")
+
+
 def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -74,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_url_filter": url_verdicts,
         "op6_token_counts": token_totals,
         "op7_quality": quality,
+        "op9_repeats": repeated_passages,
         "op10_mix": mixed,
     }
 
