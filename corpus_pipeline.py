@@ -36,7 +36,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = repeats.without_repeats(docs, Scratch(prepare(spark), "repeats"))
-    return cut.withColumn("n_chars", F.when(column("text").isNotNull(), F.length(column("text")).cast("long")))
+    n_chars = F.length(column("text")).cast("long")
+    return cut.withColumn("n_chars", n_chars) if "n_chars" in docs.columns else cut
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,11 +38,17 @@ class Scratch:
         path = f"{self.root}/{self.count}"
         self.count += 1
         df.write.option("compression", "zstd").parquet(path)
+        self.tidy()
         read = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(read)] = path
-        self.last = read
         return read
 
+    def tidy(self) -> None:
+        """Spark deletes the shuffle files of plans that are gone once the driver's JVM
+        collects garbage, which on a driver with little to do may be late."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table that ``keep`` returned."""
         path = self.paths.pop(id(df), None)

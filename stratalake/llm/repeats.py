@@ -14,8 +14,8 @@ the same place, and this lies early enough that ``PREFIX`` words of the passage
    all suffixes.
 2. A run of equal surroundings matches as far as these reach: all of it repeats.
 3. Where one prefix has several surroundings, the match is extended left and right
-   from one suffix of each: every stretch of ``WORDS`` words around the place is compared
-   by its hash, within the prefix. What agrees repeats.
+   from one suffix of each: every stretch of ``WORDS`` words that has the place as its
+   minimiser is compared by its hash. What agrees repeats.
 
 The first occurrence of a stretch, by doc_id, text hash and place, is kept; the others
 may be cut. Equality is judged by two hashes of 64 bits with different bases.
@@ -107,11 +107,11 @@ class Texts:
             self.words = np.empty(0, dtype=np.uint64)
         self.one, self.two = Stretches(self.words, BASE), Stretches(self.words, BASE_2)
 
-    def anchors(self) -> np.ndarray:
-        """Places of the minimisers of all windows that a passage can begin with."""
+    def minimisers(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places where a stretch of WORDS words can begin, and the minimiser of its first window."""
         n = len(self.words)
         if n < WORDS:
-            return np.empty(0, dtype=np.int64)
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         ends = self.firsts[self.owner + 1]
         at = np.arange(n)
         grams = self.one.hash(at[: n - GRAM + 1], at[: n - GRAM + 1] + GRAM)
@@ -122,7 +122,7 @@ class Texts:
             part = starts[i : i + (1 << 16)]
             low, high = part[0], part[-1] + 1
             found[i : i + (1 << 16)] = part + windows[low:high].argmin(axis=1)[part - low]
-        return np.unique(found)
+        return starts, found
 
 
 def texts_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +154,7 @@ def _find_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for first, last in portions(offsets):
             low = offsets[first]
             texts = Texts(data[low : offsets[last]], offsets[first : last + 1] - low)
-            at = texts.anchors()
+            at = np.unique(texts.minimisers()[1])
             if not len(at):
                 continue
             owner = texts.owner[at]
@@ -174,7 +174,7 @@ def _find_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _find_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All stretches of WORDS words around the wanted places of each text."""
+    """The stretches of WORDS words that have a wanted place as their minimiser."""
     for batch in batches:
         data, offsets = texts_of(batch.column("text"))
         wanted = batch.column("wanted")
@@ -183,23 +183,22 @@ def _find_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             texts = Texts(data[low : offsets[last]], offsets[first : last + 1] - low)
             part = wanted.slice(first, last - first)
             flat = part.flatten()
-            counts = part.value_lengths().to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(last - first), counts)
+            owner = np.repeat(np.arange(last - first), part.value_lengths().to_numpy(zero_copy_only=False))
             at = texts.firsts[owner] + flat.field("place").to_numpy()
-            shift = np.arange(WINDOW)
-            begins = at[:, None] - shift
-            fits = (begins >= texts.firsts[owner][:, None]) & (begins + WORDS <= texts.firsts[owner + 1][:, None])
-            rows, shifts = np.nonzero(fits)
-            begins = begins[fits]
-            source = pa.array(owner[rows] + first)
+            times = np.zeros(len(texts.words) + 1, dtype=np.int64)
+            times[at] = flat.field("n").to_numpy()
+            begins, chosen = texts.minimisers()
+            begins, times = begins[times[chosen] > 0], times[chosen]
+            times = times[times > 0]
+            owner = texts.owner[begins]
+            source = pa.array(owner + first)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id").take(source),
                 "text_hash": batch.column("text_hash").take(source),
-                "begin": pa.array((begins - texts.firsts[owner[rows]]).astype(np.int32)),
-                "shift": pa.array(shifts.astype(np.int32)),
-                "prefix": flat.field("prefix").take(pa.array(rows)),
-                "n": flat.field("n").take(pa.array(rows)),
-                "stretch": signed(texts.two.hash(begins, begins + WORDS)),
+                "begin": pa.array((begins - texts.firsts[owner]).astype(np.int32)),
+                "n": pa.array(times),
+                "one": signed(texts.one.hash(begins, begins + WORDS)),
+                "two": signed(texts.two.hash(begins, begins + WORDS)),
             })
 
 
@@ -254,7 +253,7 @@ def covers(docs: DataFrame, scratch: Scratch) -> DataFrame:
     wanted = (
         equal.join(several, "prefix", "left_semi")
         .groupBy("first.doc_id", "first.text_hash")
-        .agg(F.collect_list(F.struct(F.col("first.place").alias("place"), "prefix", "n")).alias("wanted"))
+        .agg(F.collect_list(F.struct(F.col("first.place").alias("place"), "n")).alias("wanted"))
     )
     asked = (
         texts.alias("t")
@@ -263,16 +262,14 @@ def covers(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .dropDuplicates(["doc_id", "text_hash"])
     )
     stretches = scratch.keep(
-        asked.mapInArrow(
-            _find_stretches,
-            _schema(docs, ("begin", integer), ("shift", integer), ("prefix", long), ("n", long), ("stretch", long)),
-        )
+        asked.mapInArrow(_find_stretches, _schema(docs, ("begin", integer), ("n", long), ("one", long), ("two", long)))
     )
-    key = ["prefix", "shift", "stretch"]
-    repeated = (
+    key = ["one", "two"]
+    repeated = scratch.keep(
         stretches.groupBy(*key)
         .agg(F.sum("n").alias("m"), F.min(_occurrence("begin")).alias("first"))
         .where("m > 1")
+        .select(*key, "first")
     )
     part = stretches.join(repeated, key).select(
         "doc_id",
@@ -306,7 +303,7 @@ def spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
             out.append([x.tolist() for x in (*joined(b, e), *joined(b[later], e[later]))])
         return pd.DataFrame(out, columns=["begins", "ends", "cut_begins", "cut_ends"])
 
-    found = covers(docs, scratch).distinct().groupBy("doc_id", "text_hash").agg(
+    found = covers(docs, scratch).groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("begin", "end", "is_first")).alias("c")
     )
     merged = found.select("doc_id", "text_hash", merge("c.begin", "c.end", "c.is_first").alias("m"))
