@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm import (
+    ann,
     html_extraction,
     mixing,
     pieces,
@@ -36,6 +37,10 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", "n_chars")
 
 
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(prepare(spark), sf_dir, "embeddings"), Scratch(spark, "nearest"))
+
+
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(
         table(prepare(spark), sf_dir, "documents"), Scratch(spark, "simhash"), shingle=SHINGLE, radius=RADIUS
@@ -75,6 +80,7 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_main_text": main_text,
+        "op2_nearest": nearest,
         "op3_simhash": simhash_groups,
         "op4_pieces": encoded,
         "op5_url_filter": url_verdicts,
