@@ -12,6 +12,7 @@ from stratalake.llm import (
     mixing,
     pieces,
     quality_rules,
+    quotes,
     repeats,
     sentencepiece_codec,
     simhash,
@@ -68,6 +69,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.RESULT)
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(prepare(spark), sf_dir, "conversations"), Scratch(spark, "quotes"))
+
+
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.find_repeats(table(prepare(spark), sf_dir, "documents"), Scratch(spark, "repeats"))
     return found.select("doc_id", "begin", "end", "n_words", "n_cut")
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_url_filter": url_verdicts,
         "op6_token_counts": token_totals,
         "op7_quality": quality,
+        "op8_quotes": conversations,
         "op9_repeats": repeated_passages,
         "op10_mix": mixed,
     }
