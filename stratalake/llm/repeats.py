@@ -233,7 +233,8 @@ def covers(docs: DataFrame, scratch: Scratch) -> DataFrame:
             _schema(docs, ("place", integer), ("left", integer), ("right", integer), ("prefix", long), ("around", long)),
         )
     )
-    again = suffixes.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select("prefix")
+    # Written, so that both join sides come straight from a shuffle and a hot prefix is split.
+    again = scratch.keep(suffixes.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select("prefix"))
     run = scratch.keep(suffixes.join(again, "prefix", "left_semi"))
     scratch.drop(suffixes)
     equal = scratch.keep(
@@ -249,7 +250,8 @@ def covers(docs: DataFrame, scratch: Scratch) -> DataFrame:
             (F.col("first") == _occurrence("place")).alias("is_first"),
         )
     )
-    several = equal.groupBy("prefix").agg(F.count("*").alias("kinds")).where("kinds > 1").select("prefix")
+    kinds = equal.groupBy("prefix").agg(F.count("*").alias("kinds"))
+    several = scratch.keep(kinds.where("kinds > 1").select("prefix"))
     wanted = (
         equal.join(several, "prefix", "left_semi")
         .groupBy("first.doc_id", "first.text_hash")
