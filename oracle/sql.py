@@ -320,13 +320,13 @@ QUERIES = {
         count(*) FILTER (WHERE on_ground = 0) AS airborne_flights,
         count(*) FILTER (WHERE on_ground = 1) AS grounded_flights,
         {_round2('count(*) FILTER (WHERE on_ground = 0) / CAST(count(*) AS DOUBLE) * 100')} AS airborne_percentage,
-        {_round2(_money('velocity') + ' / count(velocity) * 3.6::DOUBLE')} AS avg_velocity_kmh,
-        {_round2(_money('baro_altitude') + ' / count(baro_altitude)')} AS avg_altitude
+        {_round2('avg(velocity) * 3.6::DOUBLE')} AS avg_velocity_kmh,
+        {_round2('avg(baro_altitude)')} AS avg_altitude
         FROM x_flights WHERE latitude IS NOT NULL AND baro_altitude IS NOT NULL GROUP BY origin_country""",
     "employees_clean": "SELECT * FROM e_clean",
     "employees_profile": " UNION ALL ".join(
         f"""SELECT {i} AS position, '{c}' AS column_name, 'string' AS data_type,
-        count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS row_count, 7 AS column_count FROM x_employees"""
+        count(*) FILTER (WHERE {c} IS NULL OR {c} IN {_NA}) AS null_count, count(*) AS row_count, 7 AS column_count FROM x_employees"""
         for i, c in enumerate(("first_name", "salary", "bonus_percent", "gender", "start_date",
                                "senior_management", "team"), 1)
     ),

@@ -208,7 +208,7 @@ JOBS: dict[str, Callable[[Shop], DataFrame]] = {
     "gold_flight_summary": lambda t: flights.gold_flight_summary(flights.silver_flights(t.x("flights"))),
     # employees, sales, starter models
     "employees_clean": lambda t: t.staff(),
-    "employees_profile": lambda t: quality.profile(t.x("employees")),
+    "employees_profile": lambda t: quality.profile(employees.known(t.x("employees"))),
     "salary_band_summary": lambda t: employees.salary_band_summary(t.staff()),
     "team_summary": lambda t: employees.team_summary(t.staff()),
     "employees_preview": lambda t: employees.employees_preview(t.staff()),

@@ -112,9 +112,16 @@ def round2(c: Column) -> Column:
     return F.floor(c * 100 + 0.5) / F.lit(100.0)
 
 
+#: Amounts below this fit a bigint of ten-thousandths.
+MOST_MONEY = 9e14
+
+
 def units(c: Column) -> Column:
-    """Money as a whole number of ten-thousandths."""
-    return F.floor(c * UNITS_PER_ONE + 0.5)
+    """Money as a whole number of ten-thousandths. NaN and amounts that would not fit
+    stop the job: counted as whole numbers, they would be other amounts."""
+    fits = F.abs(c) < MOST_MONEY
+    whole = F.floor(c * UNITS_PER_ONE + 0.5)
+    return F.when(c.isNull() | fits, whole).otherwise(F.raise_error(F.lit("an amount is NaN or too large")))
 
 
 def sum_units(c: Column) -> Column:

@@ -22,13 +22,18 @@ BANDS = ("Rendah", "Menengah", "Tinggi")  # fixed values
 PREVIEW = ["first_name", "salary", "kategori_gaji", "start_date", "start_year"]
 
 
+def known(df: DataFrame) -> DataFrame:
+    """With missing-value texts read as missing."""
+    return df.select(*[na_to_null(F.col(c)).alias(c) for c in df.columns])
+
+
 def employees_clean(df: DataFrame) -> DataFrame:
     """Typed columns; a missing salary becomes the median, a missing bonus 0.
 
     The median is one number found beforehand, so the cleaning itself needs no
     shuffle.
     """
-    texts = df.select(*[na_to_null(F.col(c)).alias(c) for c in df.columns])
+    texts = known(df)
     typed = texts.withColumns(
         {
             "start_date": to_date_ts(F.col("start_date"), DATE_FORMAT),

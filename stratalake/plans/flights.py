@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions import epoch_to_ts, exact_avg, round2, strip, truthy
+from stratalake.functions import epoch_to_ts, round2, strip, truthy
 
 # Positions in a state array.
 POSITIONS = {
@@ -56,7 +56,11 @@ def stamped(states: DataFrame) -> DataFrame:
 
 
 def silver_flights(raw: DataFrame) -> DataFrame:
-    return raw.dropna(subset=REQUIRED)
+    """Rows that have all required readings; NaN is a reading."""
+    known = F.lit(True)
+    for name in REQUIRED:
+        known = known & F.col(name).isNotNull()
+    return raw.where(known)
 
 
 def gold_flight_summary(silver: DataFrame) -> DataFrame:
@@ -69,8 +73,8 @@ def gold_flight_summary(silver: DataFrame) -> DataFrame:
             airborne.alias("airborne_flights"),
             F.count_if(on_ground == 1).alias("grounded_flights"),
             round2(airborne / F.count("*") * 100).alias("airborne_percentage"),
-            round2(exact_avg(F.col("velocity")) * 3.6).alias("avg_velocity_kmh"),
-            round2(exact_avg(F.col("baro_altitude"))).alias("avg_altitude"),
+            round2(F.avg("velocity") * 3.6).alias("avg_velocity_kmh"),
+            round2(F.avg("baro_altitude")).alias("avg_altitude"),
         )
         .orderBy(F.desc("total_flights"), "origin_country")
     )

@@ -23,7 +23,10 @@ _STATUS = """CASE WHEN o_orderstatus = 'F' THEN 'delivered' WHEN o_orderstatus =
 _STATUS_BEFORE = """CASE WHEN o_orderstatus = 'F' OR o_orderstatus = 'O' THEN 'shipped'
     ELSE 'processing' END"""
 
-_ORDERS = """SELECT CAST(o_orderkey AS STRING) AS order_id, CAST(o_custkey AS STRING) AS customer_id,
+# Some orders name a customer that does not exist.
+_ORDERS = """SELECT CAST(o_orderkey AS STRING) AS order_id,
+    CASE WHEN o_custkey % 50 = 0 THEN concat('none-', CAST(o_custkey AS STRING))
+         ELSE CAST(o_custkey AS STRING) END AS customer_id,
     {status} AS order_status, o_orderdate AS order_purchase_timestamp,
     CASE WHEN o_orderkey % 10 = 0 THEN NULL
          ELSE o_orderdate + INTERVAL '1' MINUTE * CAST(o_orderkey % 4320 AS INT) END AS order_approved_at,
@@ -31,7 +34,7 @@ _ORDERS = """SELECT CAST(o_orderkey AS STRING) AS order_id, CAST(o_custkey AS ST
     CASE WHEN o_orderstatus = 'F'
          THEN o_orderdate + INTERVAL '1' DAY * CAST(o_orderkey % 40 AS INT) END AS order_delivered_customer_date,
     o_orderdate + INTERVAL '20' DAY AS order_estimated_delivery_date
-    FROM orders WHERE o_custkey % 50 <> 0"""
+    FROM orders"""
 
 TYPED = {
     "x_customers": """SELECT CAST(c_custkey AS STRING) AS customer_id,
@@ -48,11 +51,11 @@ TYPED = {
         CAST(p_size + 1 AS BIGINT) AS product_height_cm, CAST(p_size + 2 AS BIGINT) AS product_width_cm
         FROM part""",
     "x_category": """SELECT DISTINCT lower(p_brand) AS product_category_name,
-        concat('en_', lower(p_brand)) AS product_category_name_english
-        FROM part WHERE p_brand <> 'Brand#2'""",
+        CASE WHEN p_brand <> 'Brand#2' THEN concat('en_', lower(p_brand)) END AS product_category_name_english
+        FROM part""",
     "x_orders": _ORDERS.format(status=_STATUS),
     "x_orders_before": _ORDERS.format(status=_STATUS_BEFORE)
-    + " AND o_orderdate < TIMESTAMP '2001-01-01 00:00:00'",
+    + " WHERE o_orderdate < TIMESTAMP '2001-01-01 00:00:00'",
     "x_items": """SELECT CAST(l_orderkey AS STRING) AS order_id, l_linenumber AS order_item_id,
         CAST(l_partkey AS STRING) AS product_id, CAST(l_suppkey AS STRING) AS seller_id,
         l_shipdate AS shipping_limit_date,
@@ -65,11 +68,12 @@ TYPED = {
         l_extendedprice * (1 - l_discount) AS payment_value
         FROM lineitem""",
     "x_reviews": """SELECT concat('R', CAST(o_orderkey AS STRING)) AS review_id,
-        CAST(o_orderkey AS STRING) AS order_id, CAST(o_orderkey % 7 AS INT) AS review_score,
+        CASE WHEN o_orderkey % 5 = 0 THEN concat('none-', CAST(o_orderkey AS STRING))
+             ELSE CAST(o_orderkey AS STRING) END AS order_id, CAST(o_orderkey % 7 AS INT) AS review_score,
         '' AS review_comment_title, o_orderpriority AS review_comment_message,
         o_orderdate + INTERVAL '30' DAY AS review_creation_date,
         CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE o_orderdate + INTERVAL '32' DAY END AS review_answer_timestamp
-        FROM orders WHERE o_orderkey % 5 <> 0""",
+        FROM orders""",
     "x_flights": """SELECT ts AS event_time, CAST(user_id AS STRING) AS icao24, event_type AS callsign,
         n_name AS origin_country, value AS longitude,
         CASE WHEN event_id % 17 = 0 THEN NULL ELSE value / 2 END AS latitude,

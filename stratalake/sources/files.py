@@ -29,6 +29,8 @@ def read_csv(spark: SparkSession, path: str, header=lower_header, multi_line: bo
         multiLine=multi_line,
         quote='"',
         escape='"',
+        # A file whose header has the columns in another order is an error, not a swap.
+        enforceSchema=False,
     )
     return raw.toDF(*[header(name) for name in raw.columns])
 

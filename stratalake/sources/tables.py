@@ -70,9 +70,11 @@ def replace_table(
     """Build beside the old table, then swap names.
 
     ``df`` may read the table it replaces: the old files stay in place until the
-    new ones are complete.
+    new ones are complete. A run that was stopped between the renames is undone
+    first, so the old rows are never lost.
     """
     staged, backup = f"{table}__next", f"{table}__backup"
+    restore_table(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
     (clustered(df, *sort_by) if sort_by else df).write.saveAsTable(staged, format="parquet")
     spark.sql(f"DROP TABLE IF EXISTS {backup}")
@@ -82,10 +84,18 @@ def replace_table(
     spark.sql(f"DROP TABLE IF EXISTS {backup}")
 
 
+def restore_table(spark: SparkSession, table: str) -> None:
+    """Bring back the table that a stopped swap left under its backup name."""
+    backup = f"{table}__backup"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(backup):
+        spark.sql(f"ALTER TABLE {backup} RENAME TO {table}")
+
+
 def upsert_table(
     spark: SparkSession, new: DataFrame, table: str, key: str, purge_missing: bool = False
 ) -> None:
     """Replace the rows of every key in ``new``; a first run just writes them."""
+    restore_table(spark, table)
     if not spark.catalog.tableExists(table):
         replace_table(spark, new, table, (key,))
         return

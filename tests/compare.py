@@ -69,7 +69,7 @@ if __name__ == "__main__":
     sqls = e.oracle_sql()
     bad = 0
     for name, q in e.queries().items():
-        if only and name not in only:
+        if name not in sqls or only and name not in only:
             continue
         t = time.time()
         try:
