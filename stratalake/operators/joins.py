@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 SPREAD = "_spread"
-HASHED_ALIKE = ("string", "bigint", "int", "date")
 
 
 def spread_join(rows: DataFrame, per_key: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -20,9 +20,10 @@ def spread_join(rows: DataFrame, per_key: DataFrame, key: str, how: str = "inner
     The result keeps the hash as ``SPREAD``: grouping by it along with the key
     finds the rows in place.
     """
-    if rows.schema[key].dataType != per_key.schema[key].dataType or (
-        rows.schema[key].dataType.simpleString() not in HASHED_ALIKE
-    ):
-        return rows.join(per_key, key, how).withColumn(SPREAD, F.lit(0))
-    hashed = F.xxhash64(key)
+    kind = rows.schema[key].dataType
+    if kind != per_key.schema[key].dataType:
+        raise TypeError(f"cast {key} to one type on both sides")
+    # Minus zero equals zero, but has other bits; adding zero makes them one.
+    floating = isinstance(kind, (FloatType, DoubleType))
+    hashed = F.xxhash64(F.col(key) + F.lit(0.0).cast(kind) if floating else F.col(key))
     return rows.withColumn(SPREAD, hashed).join(per_key.withColumn(SPREAD, hashed), [key, SPREAD], how)

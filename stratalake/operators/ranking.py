@@ -2,35 +2,59 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 STEPS_PER_DOUBLING = 16
+SLICES = 1024
+
+
+def _join(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+    """Inner join on the names, NULL being equal to NULL."""
+    other = right.select(*[F.col(n).alias(f"_r_{n}") if n in names else F.col(n) for n in right.columns])
+    on = reduce(lambda a, b: a & b, [left[n].eqNullSafe(other[f"_r_{n}"]) for n in names])
+    return left.join(other, on).drop(*[f"_r_{n}" for n in names])
 
 
 def rank_in_group(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    """``rank() OVER (PARTITION BY group ORDER BY value DESC)``, spread over tasks.
+    """``rank() OVER (PARTITION BY group ORDER BY value DESC NULLS LAST)``, spread over tasks.
 
     A window by group sorts a whole group in one task. Here equal values are
-    counted first, then cut into steps by magnitude: a group has about a thousand
-    steps at most, whose counts give each step its offset, and the rows of one
-    step are ranked apart from the others.
+    counted first, then cut into steps by magnitude (some thousands per group at most)
+    and each step into ``SLICES`` equal parts between its least and greatest value, so
+    that values close to each other spread too. The counts of the slices give each its
+    offset, and the values of one slice are ranked apart from the others. NULL is a
+    group like any other; NaN ranks before all numbers.
     """
-    x = F.col(value)
-    step = F.signum(x) * F.floor(F.log2(F.abs(x) + 1) * STEPS_PER_DOUBLING)
-    distinct = df.groupBy(group, value).agg(F.count("*").alias("_n")).withColumn("_step", step)
+    x = F.col(value).cast("double")
+    finite = F.when(~F.isnan(x), x)
+    step = F.when(F.isnan(x), F.lit(1 << 40)).otherwise(
+        F.signum(x) * F.floor(F.log2(F.abs(x) + 1) * STEPS_PER_DOUBLING)
+    )
+    counted = df.groupBy(group, value).agg(F.count("*").alias("_n")).withColumn("_step", step.cast("bigint"))
+    ends = counted.groupBy(group, "_step").agg(F.min(finite).alias("_low"), F.max(finite).alias("_high"))
+    # Halved, so that the width of a step stays in range.
+    along = (finite / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)
+    wide = F.col("_high") / 2 > F.col("_low") / 2
+    cut = F.when(wide, F.floor(along * SLICES)).otherwise(F.lit(0)).cast("bigint")
+    distinct = _join(counted, ends, [group, "_step"]).withColumn("_slice", cut).drop("_low", "_high")
 
-    above = W.partitionBy(group).orderBy(F.desc("_step")).rowsBetween(W.unboundedPreceding, -1)
-    steps = (
-        distinct.groupBy(group, "_step")
+    down = [F.desc_nulls_last("_step"), F.desc_nulls_last("_slice")]
+    above = W.partitionBy(group).orderBy(*down).rowsBetween(W.unboundedPreceding, -1)
+    slices = (
+        distinct.groupBy(group, "_step", "_slice")
         .agg(F.sum("_n").alias("_n"))
-        .select(group, "_step", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before"))
+        .select(group, "_step", "_slice", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before"))
     )
-    within = W.partitionBy(group, "_step").orderBy(F.desc(value)).rowsBetween(W.unboundedPreceding, -1)
-    ranks = (
-        distinct.withColumn("_within", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-        .join(steps, [group, "_step"])
-        .select(group, value, (F.col("_before") + F.col("_within") + 1).alias(name))
+    within = (
+        W.partitionBy(group, "_step", "_slice")
+        .orderBy(F.desc_nulls_last(value))
+        .rowsBetween(W.unboundedPreceding, -1)
     )
-    return df.join(ranks, [group, value])
+    ranked = distinct.withColumn("_within", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+    rank = F.col("_before") + F.col("_within") + 1
+    ranks = _join(ranked, slices, [group, "_step", "_slice"]).select(group, value, rank.alias(name))
+    return _join(df, ranks, [group, value])

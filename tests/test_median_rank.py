@@ -7,6 +7,7 @@ import statistics
 import pytest
 
 from stratalake.functions import exact_median
+from stratalake.operators.joins import spread_join
 from stratalake.operators.ranking import rank_in_group
 
 rng = random.Random(7)
@@ -44,3 +45,27 @@ def test_rank_in_group(spark):
     assert got == {
         i: 1 + sum(1 for g2, _, v2 in rows if g2 == g and v2 > v) for g, i, v in rows
     }
+
+
+def test_rank_of_missing_and_close_values(spark):
+    rows = [(None, None), (None, 2.0), ("a", None), ("a", None), ("a", 1.0), ("a", math.nan)]
+    rows += [("a", 1.0 + i * 2**-40) for i in range(300)] + [("b", math.inf), ("b", -math.inf), ("b", -0.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    df.createOrReplaceTempView("ranked_rows")
+    want = spark.sql("SELECT g, v, rank() OVER (PARTITION BY g ORDER BY v DESC NULLS LAST) AS nth FROM ranked_rows")
+    got = rank_in_group(df, "g", "v", "nth").select("g", "v", "nth")
+    assert got.count() == len(rows)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(9,2)", "smallint", "timestamp_ntz", "string"])
+def test_spread_join_of_any_key(spark, kind):
+    values = "timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, id)" if kind == "timestamp_ntz" else "id"
+    rows = spark.range(20).selectExpr(f"CAST({values} AS {kind}) AS k", "id")
+    per_key = rows.select("k", "id").withColumnRenamed("id", "other")
+    assert spread_join(rows, per_key, "k").where("id = other").count() == 20
+
+
+def test_spread_join_of_both_zeros(spark):
+    rows = spark.createDataFrame([(-0.0, 1), (0.0, 2)], "k double, id int")
+    assert spread_join(rows, spark.createDataFrame([(0.0, "z")], "k double, z string"), "k").count() == 2
