@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stratalake.operators.keys import latest_per_key
 from stratalake.plans import employees, flights, gold, raw, silver
 from stratalake.sources import schemas, tables
 from stratalake.sources.files import read_csv, snake_header
-from stratalake.streaming.snapshots import append_states, snapshot_stream
+from stratalake.streaming.snapshots import REJECTS, append_rejects, append_states, snapshot_stream
 
 # table -> (file name, job, whether quoted text may hold line breaks)
 RAW_FILES = {
@@ -22,6 +24,9 @@ RAW_FILES = {
 }
 
 
+DIMENSIONS = (schemas.DIM_CUSTOMERS, schemas.DIM_SELLERS, schemas.DIM_PRODUCTS, schemas.DIM_CATEGORY)
+
+
 def _databases(spark: SparkSession, *names: str) -> None:
     for name in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
@@ -36,8 +41,9 @@ def run_raw(
 ) -> dict[str, int]:
     """Load every CSV of a folder into its table and return the table's row counts.
 
-    A run replaces the tables; with ``append`` a repeated run adds its rows
-    again. ``files`` maps table names to other file names.
+    A run replaces the tables; with ``append`` a repeated run adds the rows of facts
+    again and replaces dimension rows by key, so that the last load of a key stays.
+    ``files`` maps table names to other file names.
     """
     _databases(spark, database)
     counts = {}
@@ -45,7 +51,11 @@ def run_raw(
         path = f"{folder}/{(files or {}).get(spec.name, file)}"
         table = tables.layer_table(spec.name, database)
         rows = job(read_csv(spark, path, multi_line=multi_line))
-        if append:
+        if append and spec in DIMENSIONS:
+            key = spec.sort_by[0]
+            once = latest_per_key(rows.withColumn("_load", F.lit(0)), key, "_load").drop("_load")
+            tables.upsert_table(spark, once, table, key)
+        elif append:
             tables.create_table(spark, table, spec)
             tables.append_rows(spark, rows, table, spec)
         else:
@@ -97,8 +107,14 @@ def run_layers(
 
 
 def run_flights(spark: SparkSession, landing: str, table_path: str, checkpoint: str) -> DataFrame:
-    """Append newly landed snapshots, then define the silver and gold views."""
+    """Append newly landed snapshots, then define the silver and gold views.
+
+    ``flight_rejects`` lists the lines that were no snapshots.
+    """
     append_states(snapshot_stream(spark, landing), table_path, checkpoint).awaitTermination()
+    rejects = f"{table_path}_rejects"
+    append_rejects(snapshot_stream(spark, landing), rejects, f"{checkpoint}_rejects").awaitTermination()
+    tables.as_view(spark.read.schema(REJECTS).parquet(rejects), "flight_rejects")
     raw_flights = spark.read.parquet(table_path)
     silver_rows = flights.silver_flights(raw_flights)
     tables.as_view(silver_rows, "silver_flights")

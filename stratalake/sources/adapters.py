@@ -193,14 +193,15 @@ def _reads(text: str) -> list[str]:
     return [name for name in (*BASE_TABLES, *VIEWS) if name in found]
 
 
-_schemas: dict[str, StructType] = {}
+_schemas: dict[tuple[str, str], StructType] = {}
 
 
 def base_table(spark: SparkSession, path: str) -> DataFrame:
     """A parquet table; its footers are read once per session, not once per query."""
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    at = (spark.sparkContext.applicationId, path)
+    if at not in _schemas:
+        _schemas[at] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[at]).parquet(path)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

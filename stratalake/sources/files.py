@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-SNAPSHOT_SCHEMA = "time bigint, states array<array<string>>"
+#: Text that is no JSON object of this shape arrives in the last column.
+REJECTED = "_corrupt_record"
+SNAPSHOT_SCHEMA = f"time bigint, states array<array<string>>, {REJECTED} string"
 
 
 def lower_header(name: str) -> str:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.plans.flights import flight_states, stamped
-from stratalake.sources.files import SNAPSHOT_SCHEMA
+from stratalake.sources.files import REJECTED, SNAPSHOT_SCHEMA
 from stratalake.sources.tables import MONTH, with_month
 
 
@@ -34,3 +35,30 @@ def append_states(snapshots: DataFrame, table_path: str, checkpoint: str) -> Str
         .trigger(availableNow=True)
         .start()
     )
+
+
+#: Columns of the quarantine table.
+REJECTS = "file string, body string, time bigint, n_states int"
+
+
+def append_rejects(snapshots: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
+    """Keep what ``append_states`` could not read: file name and text of each line that
+    is no snapshot. A snapshot printed over several lines ends up here line by line.
+
+    A stream with a checkpoint of its own, which reads the landed files once more.
+    """
+    rejected = snapshots.where(F.col(REJECTED).isNotNull()).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col(REJECTED).alias("body"),
+        "time",
+        # What could be read of it; without this column Spark would not parse the states.
+        F.size("states").alias("n_states"),
+    )
+    return (
+        rejected.writeStream.format("parquet")
+        .option("path", table_path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -3,7 +3,7 @@ import json
 
 from stratalake.plans import flights
 from stratalake.sources.files import read_snapshots
-from stratalake.streaming.snapshots import append_states, snapshot_stream
+from stratalake.streaming.snapshots import append_rejects, append_states, snapshot_stream
 
 ts = datetime.datetime
 
@@ -73,3 +73,22 @@ def test_one_or_many_batches_give_the_same_rows(spark, tmp_path):
         rows = ingest(spark, base, per_batch).drop("ingested_at").collect()
         results.append(sorted(tuple(r) for r in rows))
     assert results[0] == results[1] and len(results[0]) == 12
+
+
+def test_what_is_no_snapshot_is_kept(spark, tmp_path):
+    land(tmp_path / "in", "good.json", {"time": 1, "states": [state("a")]})
+    pretty = json.dumps({"time": 2, "states": [state("b")]}, indent=1)
+    (tmp_path / "in" / "pretty.json").write_text(pretty + "\n")
+    (tmp_path / "in" / "page.json").write_text("<html>busy</html>\n")
+    (tmp_path / "in" / "text.json").write_text('{"time": 3, "states": "none"}\n')
+    assert ingest(spark, tmp_path).count() == 1
+    for _ in range(2):
+        stream = snapshot_stream(spark, f"{tmp_path}/in")
+        append_rejects(stream, f"{tmp_path}/rejects", f"{tmp_path}/rejects-seen").awaitTermination()
+    kept = spark.read.parquet(f"{tmp_path}/rejects").collect()
+    by_file = {}
+    for row in kept:
+        by_file.setdefault(row["file"].rsplit("/", 1)[1], []).append(row["body"])
+    assert sorted(by_file) == ["page.json", "pretty.json", "text.json"]
+    assert by_file["page.json"] == ["<html>busy</html>"]
+    assert sorted(by_file["pretty.json"]) == sorted(pretty.splitlines())

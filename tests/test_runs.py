@@ -51,6 +51,8 @@ def test_files_to_gold(spark, databases, tmp_path):
         assert rows(spark.table(f"{gold_db}.gold_dim_customers")) == rows(shop.gold_customers())
     again = runs.run_raw(spark, str(tmp_path), raw_db, append=True, files={t: t for t in FILES})
     assert again["fact_payments"] == 2 * counts["fact_payments"]
+    for name in ("dim_customers", "dim_sellers", "dim_products"):
+        assert again[name] == counts[name] == spark.table(f"{raw_db}.{name}").distinct().count()
 
 
 def test_flights_run(spark, tmp_path):
