@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import re
 
-from stratalake.functions.columns import NA_TOKENS
 from stratalake.sources.adapters import VIEWS
 
+# The texts a CSV reader treats as "missing".
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+    "nan", "null",
+)
 _NA = "(" + ", ".join(f"'{t}'" for t in NA_TOKENS) + ")"
 
 
@@ -154,6 +159,14 @@ E_CLEAN = f"""SELECT first_name, coalesce(salary, mid) AS salary, bonus_percent,
      FROM (SELECT s, row_number() OVER (ORDER BY s) = (count(*) OVER ()) // 2 + 1 AS over
            FROM (SELECT {_number('salary')} AS s FROM x_employees) WHERE s IS NOT NULL)) middle"""
 
+# Input with rows that fail the rules.
+GOLD["u_payments"] = """SELECT * REPLACE (CASE WHEN payment_type = 'voucher' THEN -payment_value
+    ELSE payment_value END AS payment_value) FROM s_payments"""
+GOLD["u_customers"] = GOLD["g_customers"].replace("FROM s_payments", "FROM u_payments")
+GOLD["u_values"] = GOLD["g_orders"].replace("FROM s_items", "FROM x_items")
+GOLD["u_flights"] = """SELECT * REPLACE (CASE WHEN callsign <> 'error' THEN event_time END AS event_time,
+    CASE WHEN origin_country <> 'NATION_3' THEN origin_country END AS origin_country) FROM x_flights"""
+
 CHECK_VIEWS = {**VIEWS, **SILVER, **GOLD, "e_clean": E_CLEAN}
 
 
@@ -367,6 +380,22 @@ QUERIES = {
         review_creation_date, review_answer_timestamp FROM x_reviews""",
     "categories_from_csv": "SELECT product_category_name, product_category_name_english FROM x_category",
 }
+QUERIES |= {
+    "dq_flights_not_null": "SELECT * FROM u_flights WHERE event_time IS NULL OR icao24 IS NULL OR origin_country IS NULL",
+    "dq_summary_not_null": """SELECT origin_country, count(*) AS total_flights FROM u_flights
+        WHERE latitude IS NOT NULL AND baro_altitude IS NOT NULL AND origin_country IS NULL GROUP BY origin_country""",
+    "dq_starter_unique": f"""SELECT id, count(*) AS n_records FROM ({QUERIES['starter_union']}) ids
+        WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1""",
+    "dq_refunded_customers": "SELECT customer_id, total_revenue FROM u_customers WHERE total_revenue < 0",
+    "dq_order_value_unclamped": "SELECT order_id, total_order_value FROM u_values WHERE total_order_value <= 0",
+    "dq_order_customer_missing": """SELECT order_id, CAST(NULL AS STRING) AS customer_id FROM s_orders
+        WHERE NOT is_canceled AND customer_id LIKE 'none-%'""",
+    "flight_quarantine": """SELECT '{"time": ' || CAST(event_id AS STRING) AS body FROM events
+        WHERE event_id % 31 = 0""",
+    "employees_from_csv": QUERIES["employees_clean"],
+    **{f"{name}_from_csv": QUERIES[f"raw_{name}"] for name in (
+        "customers", "sellers", "products", "orders", "order_items", "payments")},
+}
 QUERIES["flight_ingest"] = QUERIES["flight_states"].replace(
     "FROM events", ", strftime(ts, '%Y%m') AS ym FROM events"
 )

@@ -12,7 +12,7 @@ from stratalake.operators.keys import latest_per_key, newer_than, replace_by_key
 from stratalake.plans import employees, flights, gold, raw, sales, shop_extras, shop_queries, silver
 from stratalake.session import prepare, run_dir
 from stratalake.sources import adapters, files, schemas, tables
-from stratalake.streaming.snapshots import append_states, snapshot_stream
+from stratalake.streaming.snapshots import REJECTS, append_rejects, append_states, snapshot_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,13 @@ class Shop:
             self.s("orders"), self.s("items"), self.s("payments"), self.s("reviews")
         )
 
+    def flights_with_gaps(self) -> DataFrame:
+        """Flights of which some have no time and some no country."""
+        found = self.x("flights")
+        country = F.when(F.col("origin_country") != "NATION_3", F.col("origin_country"))
+        time = F.when(F.col("callsign") != "error", F.col("event_time"))
+        return found.withColumns({"origin_country": country, "event_time": time})
+
     def staff(self) -> DataFrame:
         return employees.employees_clean(self.x("employees"))
 
@@ -115,6 +122,36 @@ def _flight_ingest(shop: Shop) -> DataFrame:
     return shop.spark.read.schema(schema).parquet(table).drop("ingested_at")
 
 
+def _flight_quarantine(shop: Shop) -> DataFrame:
+    """Land the snapshots with broken lines between them, list what is no snapshot."""
+    base = run_dir(shop.spark, "flight_quarantine")
+    broken = shop.base("events").where("event_id % 31 = 0").selectExpr(
+        """concat('{"time": ', CAST(event_id AS STRING)) AS value"""
+    )
+    adapters.snapshot_json(shop.spark, shop.sf_dir).unionByName(broken).write.text(f"{base}/landing")
+    for _ in range(2):
+        stream = snapshot_stream(shop.spark, f"{base}/landing")
+        append_rejects(stream, f"{base}/rejects", f"{base}/checkpoint").awaitTermination()
+    return shop.spark.read.schema(REJECTS).parquet(f"{base}/rejects").select("body")
+
+
+def _csv_of(shop: Shop, rows: DataFrame, name: str, header=files.lower_header) -> DataFrame:
+    """The rows written as CSV, white space included, and read again as text."""
+    path = run_dir(shop.spark, name)
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.csv(path, header=True, quote='"', escape='"', **keep)
+    return files.read_csv(shop.spark, path, header=header)
+
+
+def _employees_from_csv(shop: Shop) -> DataFrame:
+    """Staff from a file whose header is written for people."""
+    rows = shop.x("employees")
+    names = [c.replace("_", " ").title().replace("Percent", "%") for c in rows.columns]
+    return employees.employees_clean(
+        _csv_of(shop, rows.toDF(*names), "employees_csv", files.snake_header)
+    )
+
+
 def _reviews_from_csv(shop: Shop) -> DataFrame:
     """Reviews written as CSV with line breaks, commas and quotes, read and typed again."""
     path = run_dir(shop.spark, "reviews_csv")
@@ -239,6 +276,43 @@ JOBS: dict[str, Callable[[Shop], DataFrame]] = {
     "dq_order_customer": lambda t: quality.rows_where(
         t.gold_orders(), F.col("customer_id").isNull(), "order_id", "customer_id"
     ),
+    # declared tests and rules of the shop, on input that has failing rows
+    "dq_flights_not_null": lambda t: quality.not_null(
+        t.flights_with_gaps(), "event_time", "icao24", "origin_country"
+    ),
+    "dq_summary_not_null": lambda t: quality.not_null(
+        flights.gold_flight_summary(flights.silver_flights(t.flights_with_gaps())),
+        "origin_country", "total_flights",
+    ).select("origin_country", "total_flights"),
+    "dq_starter_unique": lambda t: quality.unique(t.ids(), "id"),
+    "dq_refunded_customers": lambda t: quality.rows_where(
+        gold.dim_customers(
+            t.s("customers"),
+            t.s("orders"),
+            t.s("payments").withColumn(
+                "payment_value",
+                F.when(F.col("payment_type") == "voucher", -F.col("payment_value")).otherwise(F.col("payment_value")),
+            ),
+            t.s("reviews"),
+        ),
+        F.col("total_revenue") < 0,
+        "customer_id", "total_revenue",
+    ),
+    "dq_order_value_unclamped": lambda t: quality.rows_where(
+        gold.fct_orders(t.s("orders"), t.x("items"), t.s("payments"), t.s("reviews")),
+        F.col("total_order_value") <= 0,
+        "order_id", "total_order_value",
+    ),
+    "dq_order_customer_missing": lambda t: quality.rows_where(
+        gold.fct_orders(
+            t.s("orders").withColumn(
+                "customer_id", F.when(~F.col("customer_id").startswith("none-"), F.col("customer_id"))
+            ),
+            t.s("items"), t.s("payments"), t.s("reviews"),
+        ),
+        F.col("customer_id").isNull(),
+        "order_id", "customer_id",
+    ),
     "dq_starter_not_null": lambda t: quality.not_null(t.ids(), "id"),
     "dq_freshness": _freshness,
     # tables and files: written to the shared folder, then read back
@@ -247,6 +321,14 @@ JOBS: dict[str, Callable[[Shop], DataFrame]] = {
     "orders_by_month": _orders_by_month,
     "reviews_from_csv": _reviews_from_csv,
     "categories_from_csv": _categories_from_csv,
+    "customers_from_csv": lambda t: raw.customers(_csv_of(t, t.messy("customers"), "customers_csv")),
+    "sellers_from_csv": lambda t: raw.sellers(_csv_of(t, t.messy("sellers"), "sellers_csv")),
+    "products_from_csv": lambda t: raw.products(_csv_of(t, t.messy("products"), "products_csv")),
+    "orders_from_csv": lambda t: raw.orders(_csv_of(t, t.messy("orders"), "orders_csv")),
+    "order_items_from_csv": lambda t: raw.order_items(_csv_of(t, t.messy("items"), "items_csv")),
+    "payments_from_csv": lambda t: raw.payments(_csv_of(t, t.messy("payments"), "payments_csv")),
+    "employees_from_csv": _employees_from_csv,
+    "flight_quarantine": _flight_quarantine,
 }
 
 

@@ -9,8 +9,12 @@ from stratalake.functions import seconds_between
 from stratalake.operators.joins import SPREAD, spread_join
 
 
-def not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
+def not_null(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows where one of the columns is NULL."""
+    missing = F.lit(False)
+    for column in columns:
+        missing = missing | F.col(column).isNull()
+    return df.where(missing)
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
@@ -26,7 +30,8 @@ def accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose key, where there is one, is missing in the parent."""
-    keys = parent.select(F.col(parent_column).alias(column)).distinct()
+    key = F.col(parent_column).cast(child.schema[column].dataType)
+    keys = parent.select(key.alias(column)).distinct()
     return spread_join(child.where(F.col(column).isNotNull()), keys, column, "left_anti").drop(SPREAD)
 
 
