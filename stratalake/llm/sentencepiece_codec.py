@@ -7,8 +7,9 @@ length, and hits are compared character by character, so a hash collision cannot
 give a wrong piece. Scores and backpointers of a place are vectors over the units;
 a strict maximum over starts, earliest first, follows the tie rule (see ``pieces``).
 
-Each row is encoded for itself and no row needs a shuffle. A task holds the units of
-at most ``CHARS`` characters (or one longer text) at a time.
+Each row is encoded for itself and no row needs a shuffle. A task holds the units and
+pieces of at most ``CHARS`` characters (or one longer text) at a time, beside the batch
+of texts that Spark hands it.
 
 Defined results
 * Null gives null pieces, a null count and null for the round trip; an empty text
@@ -20,7 +21,7 @@ Defined results
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -29,10 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from stratalake.llm.common import column, others, packed
+from stratalake.llm.common import column, others
 from stratalake.llm.pieces import SPACE, Vocabulary
 
-CHARS = 4_000_000
+CHARS = 1_000_000
 #: Characters of one group that advance together.
 CELLS = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -221,14 +222,17 @@ class Encoder:
         return text[1:] if text.startswith(" ") else text
 
 
-def portions(texts: list[str]) -> Iterator[list[str]]:
+def portions(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
+    """The texts in order, cut where ``CHARS`` would be passed; what is no text is None."""
     part, held = [], 0
     for text in texts:
-        if part and held + len(text) > CHARS:
+        text = text if isinstance(text, str) else None
+        size = len(text or "")
+        if part and held + size > CHARS:
             yield part
             part, held = [], 0
         part.append(text)
-        held += len(text)
+        held += size
     if part:
         yield part
 
@@ -240,18 +244,23 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     @pandas_udf("pieces array<int>, round_trip boolean")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            known = [t for t in batch if isinstance(t, str)]
-            coded = (p for part in portions(known) for p in encoder.encode(part))
-            rows = [(next(coded), t) if isinstance(t, str) else (None, None) for t in batch]
-            yield pd.DataFrame({
-                "pieces": pd.Series([p for p, _ in rows], dtype=object),
-                "round_trip": pd.Series([None if p is None else encoder.decode(p) == t for p, t in rows], dtype=object),
-            })
-
-    coded = docs.select(packed(docs).alias("row"), udf(column("text")).alias("coded"))
+            for part in portions(batch):
+                coded = iter(encoder.encode([t for t in part if t is not None]))
+                pieces = [None if t is None else next(coded) for t in part]
+                same = [None if t is None else encoder.decode(p) == t for t, p in zip(part, pieces)]
+                yield pd.DataFrame({
+                    "pieces": pd.Series(pieces, dtype=object),
+                    "round_trip": pd.Series(same, dtype=object),
+                })
+
+    kept = others(docs, [*RESULT, "text"])
+    # Without the text, which would wait for its pieces beside the Python worker. The
+    # constant keeps the struct whole where no column is left.
+    row = F.struct(*[column(c).alias(f"c{i}") for i, c in enumerate(kept)], F.lit(0).alias("none"))
+    coded = docs.select(row.alias("row"), udf(column("text")).alias("coded"))
     pieces = F.col("coded.pieces")
     return coded.select(
-        *[F.col("row")[c].alias(c) for c in others(docs, [*RESULT, "text"])],
+        *[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(kept)],
         pieces.alias("pieces"),
         F.when(pieces.isNotNull(), F.size(pieces).cast("long")).alias("n_pieces"),
         F.col("coded.round_trip").alias("round_trip"),
