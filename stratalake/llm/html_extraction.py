@@ -2,12 +2,12 @@
 
 The page is cut into lines, one per block element. Markup goes, and so does what
 lies in elements that never hold the article: menus, footers, forms, scripts and
-whatever names itself an advert, a notice, a sidebar or a comment. Those leave an
-empty line. The lengths of the remaining lines, links not counted, are summed over
-windows of ``WINDOW`` lines. Text surges where a window's sum passes the threshold
-and dives where it falls to zero; lines from a surge to the next dive are the main
-text. If the page marks its article (``article`` or ``main``), each line in it counts
-as a surge and lines elsewhere count nothing, so a short paragraph is not lost.
+whatever names itself an advert, a notice, a sidebar or a comment. What goes leaves no empty line. The lengths of the remaining lines,
+links not counted, are summed over windows of ``WINDOW`` lines. Text surges where a window's
+sum passes the threshold and dives where it falls to zero; lines from a surge to the next
+dive are the main text. Lines in ``article`` or ``main`` count twice and with their links, and a
+surge there takes in the short lines that open the article.
+If one of those holds at least half of the text found, the rest is left out; else all stays.
 
 One page is one row and no row needs another, so the work is a plain map.
 
@@ -76,10 +76,10 @@ ENDS_AT = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr":
 
 
 def set_aside(tag: str, attrs: str, in_main: bool) -> bool:
-    """Whether the element holds no article text, by its tag and by what it calls itself."""
+    """Whether the element holds no article text, by its tag or as it is hidden."""
     if tag in NEVER or tag == "header" and not in_main:
         return True
-    if not attrs.strip() or tag in ("html", "body", "main"):
+    if tag in ("html", "body", "main"):
         return False
     for name, value in ATTR.findall(attrs):
         name = name.lower()
@@ -87,7 +87,15 @@ def set_aside(tag: str, attrs: str, in_main: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
-        if name in ("class", "id", "role"):
+    return False
+
+
+def named_aside(tag: str, attrs: str, in_main: bool) -> bool:
+    """Whether the element calls itself something that is no part of an article."""
+    if not attrs.strip() or tag in ("html", "body", "main"):
+        return False
+    for name, value in ATTR.findall(attrs):
+        if name.lower() in ("class", "id", "role"):
             words = set(NAMED.findall(value.lower()))
             if words & ASIDE or not in_main and words & HEAD:
                 return True
@@ -95,13 +103,13 @@ def set_aside(tag: str, attrs: str, in_main: bool) -> bool:
 
 
 class Lines:
-    """The lines of a page: text, length outside links, and whether in a marked article."""
+    """The lines of a page: text, length outside links, and the number of the marked article, or 0."""
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, int]] = []
         self.parts: list[str] = []
         self.linked = 0
-        self.in_main = False
+        self.region = self.regions = 0
 
     def add(self, text: str, linked: bool) -> None:
         text = html.unescape(text) if "&" in text else text
@@ -112,29 +120,47 @@ class Lines:
     def end(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, max(0, len(text) - self.linked), self.in_main))
+            self.lines.append((text, max(0, len(text) - self.linked), self.region))
         self.parts, self.linked = [], 0
 
-    def gap(self) -> None:
-        self.end()
-        self.lines.append(("", 0, False))
 
+def lines_of(page: str) -> list[tuple[str, int, int]]:
+    """The lines of a page."""
+    lines, _ = cut_lines(page, frozenset())
+    return lines
+
+
+def cut_lines(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, int, int]], frozenset[int]]:
+    """The lines, and where elements begin that are set aside by name but hold most unlinked text.
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
+    ``spared``: places of elements that are not set aside for their names.
+    """
     out, pos = Lines(), 0
-    stack: list[tuple[str, bool]] = []  # open elements, and which of them are set aside
+    # Open elements, which of them are set aside, and for those so by name the place and the text before.
+    stack: list[tuple[str, bool, tuple[int, int] | None]] = []
     opened: Counter[str] = Counter()
-    aside = 0
+    aside = never = volume = 0
+    held: list[tuple[int, int]] = []
 
     def pop_to(depth: int) -> None:
-        nonlocal aside
+        nonlocal aside, never
         while len(stack) > depth:
-            tag, was = stack.pop()
+            tag, was, named = stack.pop()
             opened[tag] -= 1
             aside -= was
+            never -= was and not named
+            if named:
+                held.append((named[0], volume - named[1]))
             if was and not aside:
-                out.gap()
-        out.in_main = opened["article"] + opened["main"] > 0
+                out.end()
+        marked()
+
+    def marked() -> None:
+        if opened["article"] + opened["main"] == 0:
+            out.region = 0
+        elif not out.region:
+            out.regions += 1
+            out.region = out.regions
 
     def close(tags: set[str], limits: set[str]) -> None:
         """Ends the innermost of some elements, unless one of the limits is nearer."""
@@ -150,6 +176,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         text = page[pos : found.start() if found else len(page)]
         if text and not aside:
             out.add(text, opened["a"] > 0)
+        if text and not never and not opened["a"]:
+            volume += len(" ".join(text.split()))
         if not found:
             break
         pos = found.end()
@@ -180,31 +208,45 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if tag in RAW:
             close_tag = re.compile(f"</{tag}(?=[\\s/>]|\\Z)", re.I).search(page, pos)
             pos = close_tag.start() if close_tag else len(page)
-        self_aside = set_aside(tag, attrs, out.in_main)
+        self_never = set_aside(tag, attrs, out.region > 0)
+        named = not self_never and found.start() not in spared and named_aside(tag, attrs, out.region > 0)
+        self_aside = self_never or named
         if self_aside and not aside:
-            out.gap()
-        stack.append((tag, self_aside))
+            out.end()
+        stack.append((tag, self_aside, (found.start(), volume) if named else None))
         opened[tag] += 1
         aside += self_aside
-        out.in_main = opened["article"] + opened["main"] > 0
+        never += self_never
+        marked()
+    pop_to(0)
     out.end()
-    return out.lines
+    return out.lines, frozenset(place for place, n in held if 2 * n > volume)
 
 
-def main_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
+def main_lines(lines: list[tuple[str, int, int]]) -> list[str]:
     """Lines between each surge and the next dive of the summed lengths."""
-    if any(text and marked for text, _, marked in lines):
-        weights = [max(n, SURGE + 1) if text and marked else 0 for text, n, marked in lines]
-    else:
-        weights = [n if 2 * n >= len(text) else 0 for text, n, _ in lines]
+    # The mark of an article is a bonus: its links count too, and its lines twice.
+    weights = [2 * len(text) if region else n if 2 * n >= len(text) else 0 for text, n, region in lines]
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     surge = min(SURGE, max(sums, default=0) // 2)
-    kept, inside = [], False
-    for (text, _, _), weight, total in zip(lines, weights, sums, strict=True):
+    kept, before, inside = [], [], False
+    for (text, n, region), weight, total in zip(lines, weights, sums, strict=True):
         inside = total > 0 and (inside or total > surge)
         if inside and weight:
-            kept.append(text)
-    return kept
+            # A surge in a marked article reaches back to the article's short first lines.
+            kept += [line for line in before if line[2] == region]
+            kept.append((text, n, region))
+            before = []
+        elif region:
+            before.append((text, n, region))
+    # If one marked article holds at least half of what was found, it is the page's article.
+    by_region: Counter[int] = Counter()
+    for _, n, region in kept:
+        by_region[region] += n
+    largest = max((r for r in by_region if r), key=by_region.__getitem__, default=0)
+    if largest and 2 * by_region[largest] >= by_region.total():
+        return [text for text, _, region in kept if region == largest]
+    return [text for text, _, _ in kept]
 
 
 def main_text(page: str | None) -> str:
