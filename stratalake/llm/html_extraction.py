@@ -2,7 +2,9 @@
 
 The page is cut into lines, one per block element. Markup goes, and so does what
 lies in elements that never hold the article: menus, footers, forms, scripts and
-whatever names itself an advert, a notice, a sidebar or a comment. What goes leaves no empty line. The lengths of the remaining lines,
+whatever names itself an advert, a notice, a sidebar or a comment; but on a page without
+text in ``article`` or ``main``, an element that holds most of the page's unlinked text is
+not judged by its name. What goes leaves no empty line. The lengths of the remaining lines,
 links not counted, are summed over windows of ``WINDOW`` lines. Text surges where a window's
 sum passes the threshold and dives where it falls to zero; lines from a surge to the next
 dive are the main text. Lines in ``article`` or ``main`` count twice and with their links, and a
@@ -92,7 +94,7 @@ def set_aside(tag: str, attrs: str, in_main: bool) -> bool:
 
 def named_aside(tag: str, attrs: str, in_main: bool) -> bool:
     """Whether the element calls itself something that is no part of an article."""
-    if not attrs.strip() or tag in ("html", "body", "main"):
+    if not attrs.strip() or tag in ("html", "body", "main", "article"):
         return False
     for name, value in ATTR.findall(attrs):
         if name.lower() in ("class", "id", "role"):
@@ -125,8 +127,10 @@ class Lines:
 
 
 def lines_of(page: str) -> list[tuple[str, int, int]]:
-    """The lines of a page."""
-    lines, _ = cut_lines(page, frozenset())
+    """The lines; elements set aside by name count after all if they hold most of the page's text."""
+    lines, most = cut_lines(page, frozenset())
+    if most and not any(region for _, _, region in lines):
+        lines, _ = cut_lines(page, most)
     return lines
 
 
