@@ -305,7 +305,9 @@ def spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
             out.append([x.tolist() for x in (*joined(b, e), *joined(b[later], e[later]))])
         return pd.DataFrame(out, columns=["begins", "ends", "cut_begins", "cut_ends"])
 
-    found = covers(docs, scratch).groupBy("doc_id", "text_hash").agg(
+    # Rows that repeat an id and text give each of its covers again: once is enough, so a list
+    # is bounded by one text, however many rows hold it.
+    found = covers(docs, scratch).distinct().groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("begin", "end", "is_first")).alias("c")
     )
     merged = found.select("doc_id", "text_hash", merge("c.begin", "c.end", "c.is_first").alias("m"))
