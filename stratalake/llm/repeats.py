@@ -1,4 +1,4 @@
-"""Repeated passages by a sparse suffix array.
+"""Repeated passages by hashes of sparse suffixes.
 
 A passage is ``WORDS`` words or more that occur at least twice, in one text or in
 several. Of all suffixes (a text from some word on) only those at minimisers are kept:
@@ -6,16 +6,16 @@ the place of the least hash of ``GRAM`` words in each window of ``WINDOW`` place
 choice looks at the content alone, so each occurrence of a passage keeps a suffix at
 the same place, and this lies early enough that ``PREFIX`` words of the passage follow.
 
-1. Suffixes are ordered by the hash of their first ``PREFIX`` words, then by the hash of
-   their surroundings (what lies within reach of a passage: ``WINDOW - 1`` words to the
-   left, ``WORDS`` from the place on). Neighbours that differ in the first have nothing
-   in common; suffixes without an equal neighbour go. The shuffle sorts; runs of equal
-   neighbours are found by sums that combine before it, so a run may hold a third of
-   all suffixes.
-2. A run of equal surroundings matches as far as these reach: all of it repeats.
-3. Where one prefix has several surroundings, the match is extended left and right
-   from one suffix of each: every stretch of ``WORDS`` words that has the place as its
-   minimiser is compared by its hash. What agrees repeats.
+1. No suffix is sorted and no neighbours are compared: that is replaced by grouping, as a
+   run of equal suffixes may hold a third of all, and counts combine before the shuffle where
+   a lag over sorted rows does not. Suffixes are grouped by the hash of their first
+   ``PREFIX`` words, then by the hash of their surroundings (what lies within reach of a
+   passage: ``WINDOW - 1`` words to the left, ``WORDS`` from the place on). Suffixes whose
+   first hash is in no other place have nothing in common with others, and go.
+2. A group of equal surroundings matches as far as these reach: all of it repeats.
+3. Where one prefix has several surroundings, one suffix of each gives every stretch of
+   ``WORDS`` words that has the place as its minimiser; these are grouped by their hashes.
+   What is in one group repeats.
 
 The first occurrence of a stretch, by doc_id, text hash and place, is kept; the others
 may be cut. Equality is judged by two hashes of 64 bits with different bases.
