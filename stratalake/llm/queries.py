@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from stratalake.llm import (
     ann,
     html_extraction,
+    lexical,
     mixing,
+    periodic_runs,
     pieces,
     quality_rules,
     quotes,
@@ -82,6 +84,17 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(prepare(spark), "lexical")
+    indexed = lexical.index(table(spark, sf_dir, "documents"), scratch)
+    return lexical.search(indexed, table(spark, sf_dir, "benchmark"), scratch)
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), change=periodic_runs.periodic_tail)
+    return found.select("doc_id", *periodic_runs.RESULT)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_main_text": main_text,
@@ -94,8 +107,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quotes": conversations,
         "op9_repeats": repeated_passages,
         "op10_mix": mixed,
+        "op11_lexical_search": lexical_search,
+        "op12_periodic_runs": runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mix": mixing.SQL}
+    return {"op10_mix": mixing.SQL, "op11_lexical_search": lexical.SQL}

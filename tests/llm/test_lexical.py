@@ -1,0 +1,107 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from stratalake.llm import lexical
+from stratalake.llm.common import Scratch
+from tests.compare import compare, duck
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(docs, items, top=10):
+    found = [(d, Counter(TERM.findall((t or "").translate(UPPER)))) for d, t in docs]
+    found = [(d, c, sum(c.values())) for d, c in found if c]
+    n_docs, n_terms = len(found), sum(n for _, _, n in found)
+    rows = []
+    for item_id, text in items:
+        scores = []
+        for term in set(TERM.findall((text or "").translate(UPPER))):
+            df = sum(term in c for _, c, _ in found)
+            w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
+            for at, (_, c, n) in enumerate(found):
+                if c[term]:
+                    m = 100 - 90 + (90 * n * n_docs) // n_terms
+                    scores.append((at, w * ((10**9 * c[term]) // (1000 * c[term] + 8 * m))))
+        total = Counter()
+        for at, s in scores:
+            total[at] += s
+        best = sorted(((-s, found[a][0] is None, found[a][0] or 0) for a, s in total.items() if s > 0))[:top]
+        rows += [(item_id, i, None if null else d, -s) for i, (s, null, d) in enumerate(best, 1)]
+    return sorted(rows, key=str)
+
+
+def corpus(n=300):
+    random.seed(5)
+    words = [f"w{i}" for i in range(600)] + ["É", "ñandú", "x_y", "A1", "日本"]
+    docs = [(i, " ".join(random.choices(words, k=random.randint(0, 80)))) for i in range(n)]
+    docs += [(1000 + i, docs[7][1]) for i in range(30)]  # copies: ties
+    docs += [(2000, "w1 " * 700 + "W2\x00w3"), (2001, None), (2002, ""), (2003, "!?"), (None, docs[9][1]), (9, docs[9][1])]
+    items = [(i, " ".join(random.choices(words, k=random.randint(0, 12)))) for i in range(40)]
+    items += [(90, None), (91, ""), (92, "w1 w1 W1, w2"), (92, "w1"), (None, "w5 w6"), (93, "unknown"), (94, docs[7][1])]
+    return docs, items
+
+
+def rows(spark, docs, items):
+    d = spark.createDataFrame([(*r, "x", 1) for r in docs], "doc_id long, text string, sketch string, N int")
+    q = spark.createDataFrame([(*r, 2.0) for r in items], "item_id long, text string, score double")
+    scratch = Scratch(spark, "t")
+    found = lexical.search(lexical.index(d.repartition(5), scratch), q, scratch).collect()
+    return sorted([tuple(r) for r in found], key=str)
+
+
+@pytest.mark.parametrize("limits", [(256, 1 << 16, 4096, 1024), (3, 9, 16, 50)])
+def test_against_brute_force(spark, monkeypatch, limits):
+    docs, items = corpus()
+    monkeypatch.setattr(lexical, "ITEMS", limits[0])
+    monkeypatch.setattr(lexical, "TERMS", limits[1])
+    monkeypatch.setattr(lexical, "ROWS", limits[3])
+    assert rows(spark, docs, items) == brute(docs, items)
+
+
+def test_empty_tables(spark):
+    docs, items = corpus(20)
+    assert rows(spark, [], items) == []
+    assert rows(spark, [(1, None), (2, " ")], items) == []
+    assert rows(spark, docs, []) == []
+
+
+def test_bounds_are_above_scores():
+    docs, items = corpus()
+    found = [lexical.terms(t) for _, t in docs if lexical.terms(t)]
+    block = lexical.Block()
+    for i, t in items:
+        block.add(i, sorted(set(lexical.terms(t))))
+    weights = [[random.randrange(20_000) for _ in item] for item in block.items]
+    searcher = lexical.Searcher(block, weights, len(found), sum(map(len, found)), 10)
+    places = lexical.Places()
+    sketches = np.stack([np.frombuffer(lexical.sketch(Counter(x), places), dtype=np.uint8) for x in found])
+    m = [10 + 90 * len(x) * searcher.n_docs // searcher.n_terms for x in found]
+    bounds = searcher.bounds(sketches, np.array(m, dtype=np.float64), searcher.matrix())
+    for row, x, one in zip(bounds, found, m):
+        tf = Counter(x)
+        for bound, item in zip(row, searcher.items):
+            exact = sum(w * ((10**9 * tf[t]) // (1000 * tf[t] + 8 * one)) for t, w in item if tf[t])
+            assert exact <= bound
+
+
+def test_long_text(spark):
+    """A text beyond CHARS and frequencies beyond a byte."""
+    long = " ".join(f"t{i % 5000}" for i in range(1_000_000))
+    docs, items = [(1, long), (2, "t1 t2 rare"), (3, "t1 " * 300)], [(1, "t1 rare"), (2, "t4999")]
+    assert rows(spark, docs, items) == brute(docs, items)
+
+
+def test_query_against_sql(spark):
+    from stratalake.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    message, n = compare(
+        spark, duck(sf), queries.queries()["op11_lexical_search"], queries.oracle_sql()["op11_lexical_search"], sf
+    )
+    assert message is None and n > 0, message

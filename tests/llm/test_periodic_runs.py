@@ -1,0 +1,107 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from stratalake.llm import periodic_runs as pr
+from stratalake.llm.common import table
+
+
+def brute(words, least):
+    """Stretches of equal words q apart, those with a smaller period left out."""
+    n, out = len(words), set()
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            size = j - i + q
+            if size >= max(least, 2 * q) and not any(
+                words[i + d : i + size] == words[i : i + size - d] for d in range(1, q)
+            ):
+                out.add((i, size, q))
+            i = j
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def digests(words, least=12):
+    runs = brute(words, least)
+    gone = {x for s, n, q in runs for x in range(s + q, s + n)}
+    listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    left = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    best = sorted(runs, key=lambda r: (-r[1], r[0], r[2]))[:1]
+    top = (*best[0], 1000 * best[0][1] // best[0][2]) if best else (None,) * 4
+    return (len(runs), *top, *(hashlib.sha256(x).hexdigest() for x in (listed.encode(), left)))
+
+
+def changed(doc_id, words):
+    """The periodic tail word by word."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+@pytest.mark.parametrize("least", [2, 4, 12])
+def test_runs_against_brute_force(least):
+    random.seed(least)
+    for _ in range(400):
+        kinds = random.choice([1, 2, 3, 5, 50])
+        words = [b"%d" % random.randrange(kinds) for _ in range(random.randint(0, 80))]
+        if len(words) > 4 and random.random() < 0.5:
+            a, p = random.randrange(len(words)), random.randint(1, 8)
+            words = [w if i < a else words[min(a + (i - a) % p, len(words) - 1)] for i, w in enumerate(words)]
+        assert pr.find(words, least) == brute(words, least)
+        assert pr.judged(words, least) == digests(words, least)
+
+
+def test_stretches_leave_no_run_out():
+    random.seed(8)
+    for _ in range(200):
+        words = [random.randrange(4) for _ in range(120)]
+        at = random.randrange(100)
+        words[at:at] = words[at : at + 15] * 2
+        whole = pr.runs_of(np.array(words))
+        assert pr.find([b"%d" % w for w in words]) == whole
+
+
+def test_long_text():
+    random.seed(9)
+    words = [b"w%d" % random.randrange(10**6) for _ in range(50_000)]
+    words += words[-997:] * 30 + [b"a", b"b"] * 10_000 + [b"z"] * 10_000
+    found = pr.find(words)
+    assert [(n, q) for _, n, q in found] == [(31 * 997, 997), (20_000, 2), (10_000, 1)]
+
+
+def test_odd_rows(spark):
+    rep = "one two three " * 6
+    texts = [None, "", " \t\n ", "one", rep, rep, "É " * 20, "a\x00b\x1cc " * 12, "x " * 11]
+    rows = [(i, t, "s", 1) for i, t in enumerate(texts)] + [(None, rep, None, None), (4, rep, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, period string, `Rest` int")
+    found = pr.find_runs(docs)
+    assert found.columns == ["doc_id", "Rest", *pr.RESULT]
+    got = sorted((str(r.doc_id), tuple(r)[2:]) for r in found.collect())
+    assert got == sorted((str(i), digests((t or "").encode().split())) for i, t, _, _ in rows)
+    assert pr.find_runs(docs.limit(0)).count() == 0
+    assert pr.find_runs(docs, change=pr.periodic_tail).count() == len(rows)
+
+
+def test_query_on_whole_table(spark):
+    from stratalake.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: (r.text or "").encode().split() for r in table(spark, sf, "documents").collect()}
+    found = queries.queries()["op12_periodic_runs"](spark, sf).collect()
+    assert len(found) == len(texts) and any(r.n_runs for r in found)
+    for r in found:
+        if len(texts[r.doc_id]) < 600:
+            assert tuple(r)[1:] == digests(changed(r.doc_id, texts[r.doc_id]))
