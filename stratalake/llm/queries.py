@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratalake.llm import (
     ann,
     html_extraction,
+    jaccard,
     lexical,
     mixing,
     periodic_runs,
@@ -33,6 +34,7 @@ RULES = [
     url_filter.Rule("net/fr/", "block"),
 ]
 SHINGLE, RADIUS = 4, 4
+PERCENT = 85
 
 
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +97,11 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *periodic_runs.RESULT)
 
 
+def similar_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return jaccard.similar_groups(docs, Scratch(spark, "similar"), shingle=SHINGLE, percent=PERCENT)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_main_text": main_text,
@@ -109,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_mix": mixed,
         "op11_lexical_search": lexical_search,
         "op12_periodic_runs": runs,
+        "op13_similar_sets": similar_sets,
     }
 
 
