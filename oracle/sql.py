@@ -396,7 +396,25 @@ QUERIES |= {
     **{f"{name}_from_csv": QUERIES[f"raw_{name}"] for name in (
         "customers", "sellers", "products", "orders", "order_items", "payments")},
 }
-QUERIES["flight_ingest"] = QUERIES["flight_states"].replace(
+QUERIES |= {
+    "fct_orders_table_upsert": """SELECT * FROM g_orders WHERE order_purchase_timestamp >= TIMESTAMP '2000-07-01 00:00:00'
+        UNION ALL SELECT * FROM g_orders_before WHERE order_id NOT IN (SELECT order_id FROM g_orders
+            WHERE order_purchase_timestamp >= TIMESTAMP '2000-07-01 00:00:00')""",
+    "newer_orders_by_state": QUERIES["newer_orders"],
+    **{f"{name}_on_tables": QUERIES[name] for name in (
+        "gold_fct_orders", "gold_dim_customers", "gold_dim_products", "gold_dim_sellers")},
+    "dq_relationships_reviews": """SELECT review_id, order_id FROM x_reviews
+        WHERE NOT EXISTS (SELECT 1 FROM x_orders WHERE x_orders.order_id = x_reviews.order_id)""",
+    **{f"dq_freshness_{status}": f"""SELECT max(order_purchase_timestamp) AS newest,
+        max(order_purchase_timestamp) + INTERVAL '{hours}' HOUR AS checked_at, {hours}.0::DOUBLE AS age_hours,
+        '{status}' AS status FROM x_orders""" for status, hours in (("pass", 24), ("warn", 30))},
+    "raw_flights_summary": QUERIES["gold_flight_summary"].replace(
+        "FROM x_flights WHERE", f"FROM ({QUERIES['flight_states']}) raw_flights WHERE"
+    ),
+    "flight_body_quarantine": """SELECT '{"time":' || chr(10) || ' ' || CAST(event_id AS STRING) AS body FROM events
+        WHERE event_id % 311 = 0""",
+}
+QUERIES["flight_ingest"] = QUERIES["flight_ingest_bodies"] = QUERIES["flight_states"].replace(
     "FROM events", ", strftime(ts, '%Y%m') AS ym FROM events"
 )
 

@@ -12,7 +12,15 @@ from stratalake.operators.keys import latest_per_key, newer_than, replace_by_key
 from stratalake.plans import employees, flights, gold, raw, sales, shop_extras, shop_queries, silver
 from stratalake.session import prepare, run_dir
 from stratalake.sources import adapters, files, schemas, tables
-from stratalake.streaming.snapshots import REJECTS, append_rejects, append_states, snapshot_stream
+from stratalake.streaming.snapshots import (
+    REJECTS,
+    append_rejects,
+    append_states,
+    ingest_bodies,
+    ingested,
+    rejected,
+    snapshot_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,9 +95,8 @@ def _orders_load_audit(shop: Shop) -> DataFrame:
     table = tables.layer_table("fact_orders", database)
     orders = shop.x("orders")
     tables.create_table(shop.spark, table, schemas.FACT_ORDERS)
-    for _ in range(2):
-        tables.append_rows(shop.spark, orders, table, schemas.FACT_ORDERS)
-    return tables.load_audit(orders, shop.spark.table(table))
+    tables.append_rows(shop.spark, orders, table, schemas.FACT_ORDERS)
+    return tables.append_audited(shop.spark, orders, table, schemas.FACT_ORDERS)
 
 
 def _sellers_replaced(shop: Shop) -> DataFrame:
@@ -101,6 +108,66 @@ def _sellers_replaced(shop: Shop) -> DataFrame:
     return shop.spark.table(table)
 
 
+def _fct_orders_table_upsert(shop: Shop) -> DataFrame:
+    """A fact table by month takes the facts of late orders; earlier months stay untouched."""
+    table = tables.layer_table("gold_fct_orders", _scratch_database(shop.spark, "facts"))
+    when = "order_purchase_timestamp"
+    tables.upsert_months(shop.spark, shop.gold_orders("orders_before"), table, "order_id", when)
+    late = shop.gold_orders().where(F.col(when) >= F.lit(LATE).cast("timestamp_ntz"))
+    tables.upsert_months(shop.spark, late, table, "order_id", when)
+    return shop.spark.table(table).drop(tables.MONTH)
+
+
+#: From here on orders count as late in the upsert of the fact table.
+LATE = "2000-07-01 00:00:00"
+
+
+class SilverTables:
+    """Silver written as tables, the facts bucketed and sorted by order, as ``run_layers`` does
+    with ``buckets``; a table is written when it is first asked for."""
+
+    BUCKETS = 8
+    SORTED = {"items": "order_item_id", "payments": "payment_sequential", "reviews": "review_id"}
+
+    def __init__(self, shop: Shop):
+        self.shop = shop
+        self.database = _scratch_database(shop.spark, "silver")
+
+    def table(self, name: str) -> DataFrame:
+        table = tables.layer_table(name, self.database)
+        rows = self.shop.s(name)
+        if name in ("customers", "sellers", "products"):
+            tables.replace_table(self.shop.spark, rows, table, (rows.columns[0],))
+        else:
+            by = ("order_id", *([self.SORTED[name]] if name in self.SORTED else []))
+            tables.replace_table(self.shop.spark, rows, table, by, ("order_id", self.BUCKETS))
+        return self.shop.spark.table(table)
+
+
+def _gold_on_tables(model: Callable[..., DataFrame], *names: str) -> Callable[[Shop], DataFrame]:
+    def job(shop: Shop) -> DataFrame:
+        silver_tables = SilverTables(shop)
+        return model(*[silver_tables.table(name) for name in names])
+
+    return job
+
+
+def _fct_orders_on_tables(shop: Shop) -> DataFrame:
+    facts = _gold_on_tables(gold.fct_orders, "orders", "items", "payments", "reviews")(shop)
+    return facts.withColumn("payment_types", F.array_join("payment_types", ","))
+
+
+def _newer_by_state(shop: Shop) -> DataFrame:
+    """Orders newer than the last load, by the state that load left behind."""
+    database = _scratch_database(shop.spark, "state")
+    table, state = tables.layer_table("fact_orders", database), tables.layer_table("load_state", database)
+    when = "order_purchase_timestamp"
+    tables.create_table(shop.spark, table, schemas.FACT_ORDERS)
+    tables.append_up_to(shop.spark, shop.x("orders_before"), table, schemas.FACT_ORDERS, when, state)
+    newer = tables.newer_than_state(shop.s("orders"), table, when, state)
+    return newer.select("order_id", "order_status", when)
+
+
 def _orders_by_month(shop: Shop) -> DataFrame:
     path = run_dir(shop.spark, "orders_by_month")
     when = "order_purchase_timestamp"
@@ -135,6 +202,41 @@ def _flight_quarantine(shop: Shop) -> DataFrame:
     return shop.spark.read.schema(REJECTS).parquet(f"{base}/rejects").select("body")
 
 
+def _ingest_bodies(shop: Shop, base: str) -> None:
+    """Land hourly bodies over several lines, broken ones and files of one body a line; ingest
+    them twice."""
+    landing = f"{base}/landing"
+    bodies = adapters.snapshot_json(shop.spark, shop.sf_dir)
+    state = F.regexp_extract("value", r'"states":\[(.*)\]\}$', 1)
+    hour = F.get_json_object("value", "$.time").cast("bigint") - F.get_json_object("value", "$.time").cast("bigint") % 3600
+    # Hours of even number come printed, one body a file; the others a state a line.
+    even = (hour / 3600 % 2 == 0) & (state != "")
+    bodies.where(~even).write.text(landing)
+    printed = F.concat(F.lit('{"time": '), F.col("time"), F.lit(',\n "states": [\n'), F.array_join("states", ",\n"), F.lit("\n]}"))
+    hours = bodies.where(even).groupBy(hour.alias("time")).agg(F.collect_list(state).alias("states"))
+    one_a_file = {"maxRecordsPerFile": 1}
+    hours.select(printed.alias("value")).write.mode("append").options(**one_a_file).text(landing)
+    broken = shop.base("events").where("event_id % 311 = 0").selectExpr(
+        """concat('{"time":\n ', CAST(event_id AS STRING)) AS value"""
+    )
+    broken.write.mode("append").options(**one_a_file).text(landing)
+    for _ in range(2):
+        texts = files.stream_whole_files(shop.spark, landing)
+        ingest_bodies(texts, f"{base}/table", f"{base}/rejects", f"{base}/checkpoint").awaitTermination()
+
+
+def _raw_flights(shop: Shop) -> DataFrame:
+    base = run_dir(shop.spark, "raw_flights")
+    _ingest_bodies(shop, base)
+    return ingested(shop.spark, f"{base}/table")
+
+
+def _body_quarantine(shop: Shop) -> DataFrame:
+    base = run_dir(shop.spark, "raw_flights")
+    _ingest_bodies(shop, base)
+    return rejected(shop.spark, f"{base}/rejects").select(F.regexp_replace("body", r"\s+$", "").alias("body"))
+
+
 def _csv_of(shop: Shop, rows: DataFrame, name: str, header=files.lower_header) -> DataFrame:
     """The rows written as CSV, white space included, and read again as text."""
     path = run_dir(shop.spark, name)
@@ -185,6 +287,18 @@ def _freshness(shop: Shop) -> DataFrame:
     return quality.freshness(orders, "order_purchase_timestamp", now)
 
 
+def _freshness_after(hours: int) -> Callable[[Shop], DataFrame]:
+    """Freshness so many hours after the newest order."""
+
+    def job(shop: Shop) -> DataFrame:
+        orders = shop.x("orders")
+        newest = orders.agg(F.max("order_purchase_timestamp").alias("at"))
+        now = newest.select(F.col("at") + F.expr(f"INTERVAL '{hours}' HOUR")).scalar()
+        return quality.freshness(orders, "order_purchase_timestamp", now)
+
+    return job
+
+
 JOBS: dict[str, Callable[[Shop], DataFrame]] = {
     # raw layer, from text rows
     "raw_customers": lambda t: raw.customers(t.messy("customers")),
@@ -241,6 +355,9 @@ JOBS: dict[str, Callable[[Shop], DataFrame]] = {
     # flights
     "flight_states": lambda t: flights.flight_states(adapters.snapshots(t.spark, t.sf_dir)),
     "flight_ingest": _flight_ingest,
+    "flight_ingest_bodies": lambda t: _raw_flights(t).drop("ingested_at", "load"),
+    "raw_flights_summary": lambda t: flights.gold_flight_summary(flights.silver_flights(_raw_flights(t))),
+    "flight_body_quarantine": _body_quarantine,
     "silver_flights": lambda t: flights.silver_flights(t.x("flights")),
     "gold_flight_summary": lambda t: flights.gold_flight_summary(flights.silver_flights(t.x("flights"))),
     # employees, sales, starter models
@@ -315,10 +432,23 @@ JOBS: dict[str, Callable[[Shop], DataFrame]] = {
     ),
     "dq_starter_not_null": lambda t: quality.not_null(t.ids(), "id"),
     "dq_freshness": _freshness,
+    "dq_freshness_pass": _freshness_after(24),
+    "dq_freshness_warn": _freshness_after(30),
+    "dq_relationships_reviews": lambda t: quality.relationships(
+        t.x("reviews"), "order_id", t.x("orders"), "order_id"
+    ).select("review_id", "order_id"),
     # tables and files: written to the shared folder, then read back
     "orders_load_audit": _orders_load_audit,
     "sellers_replaced": _sellers_replaced,
     "orders_by_month": _orders_by_month,
+    "fct_orders_table_upsert": _fct_orders_table_upsert,
+    "newer_orders_by_state": _newer_by_state,
+    "gold_fct_orders_on_tables": _fct_orders_on_tables,
+    "gold_dim_customers_on_tables": _gold_on_tables(
+        gold.dim_customers, "customers", "orders", "payments", "reviews"
+    ),
+    "gold_dim_products_on_tables": _gold_on_tables(gold.dim_products, "products", "items"),
+    "gold_dim_sellers_on_tables": _gold_on_tables(gold.dim_sellers, "sellers", "items", "reviews"),
     "reviews_from_csv": _reviews_from_csv,
     "categories_from_csv": _categories_from_csv,
     "customers_from_csv": lambda t: raw.customers(_csv_of(t, t.messy("customers"), "customers_csv")),

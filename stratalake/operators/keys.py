@@ -34,9 +34,10 @@ def replace_by_key(
     return kept.unionByName(new)
 
 
-def newer_than(new: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """Rows newer than anything in the target; all rows while the target is empty."""
-    newest = target.agg(F.max(column)).scalar()
+def newer_than(new: DataFrame, target: DataFrame, column: str, in_target: str | None = None) -> DataFrame:
+    """Rows newer than anything in the target; all rows while the target is empty. The column
+    may have another name there."""
+    newest = target.agg(F.max(in_target or column)).scalar()
     return new.where(newest.isNull() | (F.col(column) > newest))
 
 

@@ -12,10 +12,16 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import na_to_null, strip, to_int, to_number, to_ts
 from stratalake.sources import schemas
+from stratalake.sources.files import PLACE
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
-    return df.select(*[na_to_null(F.col(c)).alias(c) for c in df.columns]).dropDuplicates()
+    """Each row once; with a place, at the last one it has."""
+    texts = [c for c in df.columns if c != PLACE]
+    known = df.select(*[na_to_null(F.col(c)).alias(c) for c in texts], *[PLACE] * (PLACE in df.columns))
+    if PLACE not in df.columns:
+        return known.dropDuplicates()
+    return known.groupBy(*texts).agg(F.max(PLACE).alias(PLACE))
 
 
 def _text(name: str, missing: str | None = None) -> Column:
@@ -30,7 +36,7 @@ def _money(name: str) -> Column:
 def _typed(df: DataFrame, spec: schemas.TableSpec, **values: Column) -> DataFrame:
     """The table's columns in order: given expressions, else trimmed text."""
     return distinct_rows(df).select(
-        *[values.get(c, _text(c)).alias(c) for c in spec.columns]
+        *[values.get(c, _text(c)).alias(c) for c in spec.columns], *[PLACE] * (PLACE in df.columns)
     )
 
 

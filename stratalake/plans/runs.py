@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratalake.operators.keys import latest_per_key
 from stratalake.plans import employees, flights, gold, raw, silver
 from stratalake.sources import schemas, tables
-from stratalake.sources.files import read_csv, snake_header
-from stratalake.streaming.snapshots import REJECTS, append_rejects, append_states, snapshot_stream
+from stratalake.sources.files import PLACE, read_csv, snake_header, stream_whole_files
+from stratalake.streaming.snapshots import ingest_bodies, ingested, rejected
 
 # table -> (file name, job, whether quoted text may hold line breaks)
 RAW_FILES = {
@@ -42,35 +41,44 @@ def run_raw(
     """Load every CSV of a folder into its table and return the table's row counts.
 
     A run replaces the tables; with ``append`` a repeated run adds the rows of facts
-    again and replaces dimension rows by key, so that the last load of a key stays.
-    ``files`` maps table names to other file names.
+    again and replaces dimension rows by key, so that the last load of a key stays, and
+    of several rows in one load the last line. ``files`` maps table names to other file
+    names. Rows are counted as they are written.
     """
     _databases(spark, database)
     counts = {}
     for spec, (file, job, multi_line) in RAW_FILES.items():
         path = f"{folder}/{(files or {}).get(spec.name, file)}"
         table = tables.layer_table(spec.name, database)
-        rows = job(read_csv(spark, path, multi_line=multi_line))
         if append and spec in DIMENSIONS:
+            rows = job(read_csv(spark, path, multi_line=multi_line, place=True))
             key = spec.sort_by[0]
-            once = latest_per_key(rows.withColumn("_load", F.lit(0)), key, "_load").drop("_load")
-            tables.upsert_table(spark, once, table, key)
-        elif append:
+            tables.upsert_table(spark, latest_per_key(rows, key, PLACE).drop(PLACE), table, key)
+            counts[spec.name] = spark.table(table).count()
+            continue
+        rows = job(read_csv(spark, path, multi_line=multi_line))
+        if append:
             tables.create_table(spark, table, spec)
             tables.append_rows(spark, rows, table, spec)
+            counts[spec.name] = spark.table(table).count()
         else:
-            tables.replace_table(spark, rows, table, spec.sort_by)
-        counts[spec.name] = spark.table(table).count()
+            counts[spec.name] = tables.replace_table(spark, rows, table, spec.sort_by)
     return counts
 
 
 def run_layers(
-    spark: SparkSession, database: str = "default", silver_db: str = "silver", gold_db: str = "gold"
+    spark: SparkSession,
+    database: str = "default",
+    silver_db: str = "silver",
+    gold_db: str = "gold",
+    buckets: int | None = None,
 ) -> None:
     """Build seven silver and four gold tables from the raw ones.
 
     Tables are replaced, but for the fact table, which replaces orders by key.
-    Gold reads the written silver tables, so no cleaning runs twice.
+    Gold reads the written silver tables, so no cleaning runs twice. With ``buckets``, a
+    number that leaves a file of a fact some hundred MB, the silver facts are bucketed and
+    sorted by order, and gold joins and groups by order without a shuffle.
     """
     _databases(spark, silver_db, gold_db)
 
@@ -79,7 +87,8 @@ def run_layers(
 
     def write(df: DataFrame, layer: str, name: str, *sort_by: str) -> DataFrame:
         table = tables.layer_table(f"{layer}_{name}", silver_db if layer == "silver" else gold_db)
-        tables.replace_table(spark, df, table, sort_by)
+        by_order = buckets and layer == "silver" and name.startswith("fact_")
+        tables.replace_table(spark, df, table, sort_by, ("order_id", buckets) if by_order else None)
         return spark.table(table)
 
     customers = write(silver.dim_customers(source("dim_customer")), "silver", "dim_customers", "customer_id")
@@ -109,14 +118,14 @@ def run_layers(
 def run_flights(spark: SparkSession, landing: str, table_path: str, checkpoint: str) -> DataFrame:
     """Append newly landed snapshots, then define the silver and gold views.
 
-    ``flight_rejects`` lists the lines that were no snapshots.
+    ``raw_flights`` is the ingested table, ``flight_rejects`` lists what was no snapshot.
     """
-    append_states(snapshot_stream(spark, landing), table_path, checkpoint).awaitTermination()
     rejects = f"{table_path}_rejects"
-    append_rejects(snapshot_stream(spark, landing), rejects, f"{checkpoint}_rejects").awaitTermination()
-    tables.as_view(spark.read.schema(REJECTS).parquet(rejects), "flight_rejects")
-    raw_flights = spark.read.parquet(table_path)
-    silver_rows = flights.silver_flights(raw_flights)
+    texts = stream_whole_files(spark, landing)
+    ingest_bodies(texts, table_path, rejects, checkpoint).awaitTermination()
+    tables.as_view(rejected(spark, rejects), "flight_rejects")
+    tables.as_view(ingested(spark, table_path), "raw_flights")
+    silver_rows = flights.silver_flights(spark.table("raw_flights"))
     tables.as_view(silver_rows, "silver_flights")
     tables.as_view(flights.gold_flight_summary(silver_rows), "gold_flight_summary")
     return spark.table("gold_flight_summary")

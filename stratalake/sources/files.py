@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text that is no JSON object of this shape arrives in the last column.
 REJECTED = "_corrupt_record"
@@ -17,12 +18,19 @@ def snake_header(name: str) -> str:
     return name.strip().lower().replace(" ", "_").replace("%", "percent")
 
 
-def read_csv(spark: SparkSession, path: str, header=lower_header, multi_line: bool = False) -> DataFrame:
+#: Where a row stands: file, then place in it. Later files of a folder sort behind earlier ones by name.
+PLACE = "_place"
+
+
+def read_csv(
+    spark: SparkSession, path: str, header=lower_header, multi_line: bool = False, place: bool = False
+) -> DataFrame:
     """A CSV with a header line as text columns, names normalised.
 
     Names come from the header line and types are never inferred, so no pass
     over the data is needed. Ask for ``multi_line`` only where quoted text holds
-    line breaks: such a file cannot be split, so it has to come in many files.
+    line breaks: such a file cannot be split, so it has to come in many files (or see
+    ``quoted.read_quoted_csv``). ``place`` adds a column that grows along each file.
     """
     raw = spark.read.csv(
         path,
@@ -34,9 +42,64 @@ def read_csv(spark: SparkSession, path: str, header=lower_header, multi_line: bo
         # A file whose header has the columns in another order is an error, not a swap.
         enforceSchema=False,
     )
-    return raw.toDF(*[header(name) for name in raw.columns])
+    named = raw.toDF(*[header(name) for name in raw.columns])
+    if not place:
+        return named
+    # Rows of one split are read in order by one task, which numbers them in order.
+    at = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return raw.select("*", at.alias(PLACE)).toDF(*named.columns, PLACE)
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Landed JSON snapshots, one object with positional state arrays per line."""
     return spark.read.schema(SNAPSHOT_SCHEMA).json(path)
+
+
+#: A snapshot's fields, and where text of another shape arrives. Without options Spark would
+#: parse no more fields than a query names, and take a wrong type of another for right.
+_PARSED = f"from_json(body, '{SNAPSHOT_SCHEMA}', map('mode', 'PERMISSIVE'))"
+_IS_SNAPSHOT = (
+    f"{_PARSED}.{REJECTED} IS NULL AND size(from_json(concat('[', body, ']'), 'array<string>')) = 1"
+)
+
+
+def snapshots_in(texts: DataFrame) -> DataFrame:
+    """Snapshots in whole files: ``file``, ``body``, ``time``, ``states`` and ``is_snapshot``.
+
+    ``texts`` has the columns ``file`` and ``value``, the text of a file. A body that is one JSON
+    object is one snapshot, over however many lines it is printed. Else, if some line is a
+    snapshot, each line that is not blank is a body of its own; if none is, the whole text is one
+    body that is no snapshot. Something behind a complete object makes a body no snapshot. Blank
+    files have no bodies. One task parses a file, so this is for responses; files of many
+    snapshots, one a line, can be read line by line with ``read_snapshots``.
+    """
+
+    def is_snapshot(column: str) -> str:
+        return _IS_SNAPSHOT.replace("body", column)
+
+    lines = texts.select("file", "value", F.expr("filter(split(value, '\n'), x -> trim(x) <> '')").alias("lines"))
+    bodies = f"""CASE WHEN {is_snapshot('value')} THEN array(value)
+        WHEN exists(lines, x -> {is_snapshot('x')}) THEN lines ELSE array(value) END"""
+    each = lines.where("size(lines) > 0").select("file", F.expr(f"explode({bodies})").alias("body"))
+    parsed = each.select("file", "body", F.expr(_PARSED).alias("p"), F.expr(_IS_SNAPSHOT).alias("is_snapshot"))
+    whole = F.coalesce("is_snapshot", F.lit(False))
+    return parsed.select("file", "body", "p.time", "p.states", whole.alias("is_snapshot"))
+
+
+def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and ``value`` of each file, for ``snapshots_in``."""
+    return _named(spark.read.text(path, wholetext=True))
+
+
+def stream_whole_files(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """The same of files as they land."""
+    reader = spark.readStream.format("text").option("wholetext", True)
+    return _named(reader.option("maxFilesPerTrigger", files_per_batch).load(path))
+
+
+def _named(texts: DataFrame) -> DataFrame:
+    return texts.select(F.col("_metadata.file_path").alias("file"), "value")

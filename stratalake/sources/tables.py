@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.keys import replace_by_key
+from stratalake.operators.keys import newer_than, replace_by_key
 from stratalake.sources import folders
 from stratalake.sources.schemas import SHOP_SOURCES, TableSpec
 
@@ -66,6 +66,40 @@ def append_rows(spark: SparkSession, df: DataFrame, table: str, spec: TableSpec)
     return counted.get["n"]
 
 
+def append_up_to(
+    spark: SparkSession, df: DataFrame, table: str, spec: TableSpec, newest_of: str, state: str
+) -> int:
+    """Append, and keep the newest value of a column in the ``state`` table, which has one row
+    per table. The value comes from the write itself, so no load ever reads its target. A
+    load that stops before the state is written is repeated as a whole by ``newer_than_state``."""
+    counted = Observation()
+    newest = F.max(newest_of).alias("newest")
+    rows = laid_out(df, spec).observe(counted, F.count(F.lit(1)).alias("n"), newest)
+    rows.write.mode("append").insertInto(table)
+    seen = counted.get
+    if seen["newest"] is not None:
+        row = spark.createDataFrame([(table, seen["newest"])], STATE)
+        if spark.catalog.tableExists(state):
+            both = spark.table(state).unionByName(row)
+            row = both.groupBy("name").agg(F.max("newest").alias("newest"))
+        replace_table(spark, row, state)
+    return seen["n"]
+
+
+#: Newest value loaded into each table.
+STATE = "name string, newest timestamp_ntz"
+
+
+def newer_than_state(new: DataFrame, table: str, column: str, state: str) -> DataFrame:
+    """Rows newer than what was last loaded into the table, by the state table alone; all rows
+    before the first load."""
+    spark = new.sparkSession
+    if not spark.catalog.tableExists(state):
+        return new
+    known = spark.table(state).where(F.col("name") == table)
+    return newer_than(new, known, column, "newest")
+
+
 def append_audited(spark: SparkSession, df: DataFrame, table: str, spec: TableSpec) -> DataFrame:
     """Append, then one row: rows loaded, counted as they were written, and rows now in the
     table. The source is read once."""
@@ -242,14 +276,13 @@ def upsert_months(
     written = {name.partition("=")[2] for name in folders.children(spark, folder) if name.startswith(f"{MONTH}=")}
     present = _month_folders(spark, table)
     # Months that gain rows come first, so that a key that moves is never without a row.
-    for month in [*sorted(written), *sorted(set(touched) - written)]:
-        part = f"PARTITION ({MONTH} = '{month}')"
-        if month not in written:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {part}")
-        elif month in present:
-            spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{folder}/{MONTH}={month}'")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD {part} LOCATION '{folder}/{MONTH}={month}'")
+    added = [f"PARTITION ({MONTH} = '{m}') LOCATION '{folder}/{MONTH}={m}'" for m in sorted(written - present.keys())]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD {' '.join(added)}")
+    for month in sorted(written & present.keys()):
+        spark.sql(f"ALTER TABLE {table} PARTITION ({MONTH} = '{month}') SET LOCATION '{folder}/{MONTH}={month}'")
+    for month in sorted(present.keys() & set(touched) - written):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{month}')")
     return touched
 
 

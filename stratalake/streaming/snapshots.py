@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.plans.flights import flight_states, stamped
-from stratalake.sources.files import REJECTED, SNAPSHOT_SCHEMA
-from stratalake.sources.tables import MONTH, with_month
+from stratalake.sources import schemas
+from stratalake.sources.files import REJECTED, SNAPSHOT_SCHEMA, snapshots_in
+from stratalake.sources.tables import MONTH, laid_out, with_month
 
 
 def snapshot_stream(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
@@ -37,6 +39,51 @@ def append_states(snapshots: DataFrame, table_path: str, checkpoint: str) -> Str
     )
 
 
+#: Folder of each batch within a table: the query that wrote it and the batch's number.
+LOAD = "load"
+
+
+def ingest_bodies(texts: DataFrame, table_path: str, rejects_path: str, checkpoint: str) -> StreamingQuery:
+    """Process the whole files that have landed and stop; call again for the next hour.
+
+    Both tables come from one batch: a file is read once, its snapshots go to the table, sorted by
+    time and aircraft within each month, and what is no snapshot goes to the rejects. A
+    batch writes to a folder of its own, named by the stream and the batch's number, and replaces
+    that folder when it is repeated, so a stop at any point adds nothing twice. Rows are
+    dealt by ranges of month and sort key, so that a month's files are as many as its size asks for.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        folder = f"{LOAD}={stream}-{number}"
+        bodies = snapshots_in(batch).persist(StorageLevel.DISK_ONLY)
+        try:
+            rows = stamped(flight_states(bodies.where("is_snapshot")))
+            months = laid_out(rows, schemas.RAW_FLIGHTS).write.mode("overwrite").partitionBy(MONTH)
+            months.parquet(f"{table_path}/{folder}")
+            rejects = bodies.where(~F.col("is_snapshot")).select("file", "body", "time", F.size("states").alias("n_states"))
+            rejects.write.mode("overwrite").parquet(f"{rejects_path}/{folder}")
+        finally:
+            bodies.unpersist()
+
+    return (
+        texts.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def ingested(spark: SparkSession, table_path: str) -> DataFrame:
+    """The table that ``ingest_bodies`` writes, as the declared source ``raw_flights``."""
+    schema = f"{schemas.RAW_FLIGHTS.ddl}, {LOAD} string, {MONTH} string"
+    return spark.read.schema(schema).parquet(table_path)
+
+
+def rejected(spark: SparkSession, rejects_path: str) -> DataFrame:
+    return spark.read.schema(f"{REJECTS}, {LOAD} string").parquet(rejects_path)
+
+
 #: Columns of the quarantine table.
 REJECTS = "file string, body string, time bigint, n_states int"
 
