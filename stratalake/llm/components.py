@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import Scratch
+from stratalake.operators.joins import spread_join
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -17,8 +18,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
     return (
-        both.where("v > u")
-        .join(least, "u")
+        spread_join(both.where("v > u"), least, "u")
         .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         .distinct()
     )
@@ -28,7 +28,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Edges lead from the larger node ``u`` to the smaller ``v``, and still do after it."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     return (
-        edges.join(least, "u")
+        spread_join(edges, least, "u")
         .select(F.explode(F.array(F.col("u"), F.col("v"))).alias("u"), F.col("m").alias("v"))
         .where("u <> v")
         .distinct()

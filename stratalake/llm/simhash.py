@@ -141,7 +141,8 @@ def near_duplicates(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     rooted = scratch.keep(rooted)
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written, so that the join deals both sides out anew and splits a large component.
+    ids = scratch.keep(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     classes = rooted.join(ids, "root").select("fp", "root", "component_id")
     return rows.join(classes, "fp").select(
         "doc_id",

@@ -142,3 +142,14 @@ def test_repeats_of_odd_tables(spark):
     assert sorted((str(r.doc_id), r.text) for r in kept if r.fp) == [("1", ""), ("1", ""), ("None", long)]
     assert repeats.find_repeats(docs.limit(0), Scratch(spark, "t")).count() == 0
     assert repeats.without_repeats(docs.where(F.lit(False)), Scratch(spark, "t")).count() == 0
+
+
+def test_joins_with_a_hot_root_are_split(spark):
+    """A component that holds most fingerprints: its joins read both sides from a shuffle or a table."""
+    from stratalake.llm import components
+
+    edges = spark.range(1, 3000).selectExpr("id AS u", "CAST(0 AS BIGINT) AS v")
+    plan = components._large_star(edges)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(u" in plan and "_spread" in plan
+    found = components.components(edges, Scratch(spark, "t"))
+    assert found.count() == 2999 and found.select("root").distinct().count() == 1
