@@ -59,7 +59,8 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = url_filter.filter_urls(table(spark, sf_dir, "pages"), RULES)
+    # Columns pass through a model unpruned, so only those that are returned go in.
+    judged = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 

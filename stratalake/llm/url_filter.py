@@ -25,7 +25,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,25 +76,28 @@ def by_rule(rules: list[Rule], host: Column, path: Column) -> tuple[Column, Colu
     return text, verdict
 
 
-def cut(mark: str, text: Column, n: int) -> Callable[[Column], Column]:
-    return lambda start: F.concat(F.lit(mark), F.substr(text, start, F.lit(n)))
+def marker(mark: str) -> Callable[[Column], Column]:
+    return lambda gram: F.concat(F.lit(mark), gram)
 
 
-def grams(host: Column, path: Column) -> Column:
-    """Character n-grams of host and path, marked by where they stand."""
-    parts = []
-    for mark, text in (("h", F.concat(F.lit("^"), host, F.lit("$"))), ("p", F.concat(path, F.lit("$")))):
+def with_grams(df: DataFrame) -> DataFrame:
+    """Adds ``grams``, the character n-grams of host and path, marked by where they stand.
+
+    The text is cut into characters once and Spark ML's sliding windows run over these: an
+    expression that takes substrings in a loop would walk a long text once per place.
+    """
+    marked = []
+    for mark, text in (("h", F.concat(F.lit("^"), "host", F.lit("$"))), ("p", F.concat("path", F.lit("$")))):
+        df = df.withColumn(f"chars_{mark}", F.split(text, ""))
         for n in LENGTHS:
-            starts = F.when(
-                F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - F.lit(n - 1))
-            ).otherwise(F.array().cast("array<int>"))
-            parts.append(F.transform(starts, cut(mark, text, n)))
-    return F.concat(*parts)
+            df = NGram(n=n, inputCol=f"chars_{mark}", outputCol=f"grams_{mark}{n}").transform(df)
+            marked.append(F.transform(f"grams_{mark}{n}", marker(mark)))
+    return df.withColumn("grams", F.concat(*marked))
 
 
 def hashed(df: DataFrame) -> DataFrame:
     tf = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
-    return tf.transform(df.withColumn("grams", grams(F.col("host"), F.col("path")))).drop("grams")
+    return tf.transform(with_grams(df)).select(*[column(c) for c in df.columns], "features")
 
 
 def judged_by_rule(pages: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -107,10 +110,10 @@ def judged_by_rule(pages: DataFrame, rules: list[Rule]) -> DataFrame:
 def labelled_sample(ruled: DataFrame) -> DataFrame:
     """Host, path and label of at most SAMPLE URLs of each verdict, spread by hash.
 
-    The order takes the whole row into account: a URL with a third of all rows gets
-    a third of the sample, not all of it.
+    The order takes the page's id into account: a URL with a third of all rows gets
+    a third of the sample, not all of it. Nothing else of a page is read.
     """
-    order = F.xxhash64("host", "path", F.to_json("row"))
+    order = F.xxhash64("host", "path", F.col("row.page_id"))
     picked = [
         ruled.where(F.col("ruled") == verdict)
         .select("host", "path", F.lit(label).alias("label"), order.alias("order"))
@@ -123,11 +126,15 @@ def labelled_sample(ruled: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame) -> LogisticRegressionModel | str:
     """A model from rows of host, path and label (1: block), or the only verdict they hold."""
-    seen = [row["label"] for row in labelled.select("label").distinct().orderBy("label").limit(2).collect()]
-    if len(seen) < 2:
-        return "block" if seen == [1.0] else "allow"
-    learner = LogisticRegression(maxIter=40, regParam=0.01, featuresCol="features", labelCol="label")
-    return learner.fit(hashed(labelled.coalesce(1).cache()))
+    small = labelled.coalesce(1).cache()
+    try:
+        seen = [row["label"] for row in small.select("label").distinct().orderBy("label").limit(2).collect()]
+        if len(seen) < 2:
+            return "block" if seen == [1.0] else "allow"
+        learner = LogisticRegression(maxIter=40, regParam=0.01, featuresCol="features", labelCol="label")
+        return learner.fit(hashed(small))
+    finally:
+        small.unpersist()
 
 
 def filter_urls(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None) -> DataFrame:

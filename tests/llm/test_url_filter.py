@@ -1,0 +1,56 @@
+"""Host, path, rule and the rules' verdicts against SQL; what the query reads."""
+
+from stratalake.llm import queries, url_filter
+from stratalake.llm.common import table
+from tests.compare import duck
+
+SF = "/root/testdata/sf0.01"
+
+SQL = """
+WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+    FROM pages),
+cut AS (SELECT page_id, translate(regexp_extract(coalesce(r, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(coalesce(r, ''), length(regexp_extract(coalesce(r, ''), '^[^/?#]*')) + 1), '^[^?#]*') AS path
+    FROM rest),
+rules(own, start, rule, verdict) AS (VALUES ('com', '/', 'com/', 'allow'), ('example.com', '/en/', 'example.com/en/', 'block'),
+    ('www.example.com', '/en/', 'www.example.com/en/', 'allow'), ('net', '/es/', 'net/es/', 'block'),
+    ('net', '/fr/', 'net/fr/', 'block')),
+fitting AS (SELECT page_id, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, rule) AS nth
+    FROM cut JOIN rules ON (host = own OR ends_with(host, '.' || own)) AND starts_with(path, start))
+SELECT cut.page_id, host, path, rule, verdict FROM cut LEFT JOIN (SELECT * FROM fitting WHERE nth = 1) f
+    ON cut.page_id = f.page_id
+"""
+
+
+def test_rules_against_sql(spark):
+    want = {r[0]: r[1:] for r in duck(SF).execute(SQL).fetchall()}
+    found = queries.queries()["op5_url_filter"](spark, SF).collect()
+    assert len(found) == len(want)
+    for r in found:
+        host, path, rule, verdict = want[r.page_id]
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert r.verdict == verdict if rule else r.verdict in ("allow", "block")
+    assert {r.rule for r in found} > {None}
+
+
+def test_the_query_reads_two_columns(spark):
+    plan = queries.queries()["op5_url_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    read = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert read and all("html" not in line for line in read)
+
+
+def test_equally_long_rules(spark):
+    rules = [url_filter.Rule("b.com/x", "block"), url_filter.Rule("com/x/y", "allow"), url_filter.Rule("a.com/x", "allow")]
+    pages = spark.createDataFrame([(1, "http://a.com/x"), (2, "http://b.com/x/y"), (2, "HTTP://B.COM/x?q")], "page_id long, url string")
+    found = sorted(map(tuple, url_filter.filter_urls(pages, rules).select("page_id", "rule", "verdict").collect()))
+    assert found == [(1, "a.com/x", "allow"), (2, "b.com/x", "block"), (2, "b.com/x", "block")]
+
+
+def test_long_and_repeated_urls(spark):
+    long = "http://x.net/es/" + "a" * 200_000 + "?" + "b" * 100_000
+    urls = table(spark, SF, "pages").select("page_id", "url").limit(50).collect()
+    pages = spark.createDataFrame([tuple(r) for r in urls] + [(900, long)] * 30 + [(None, None)], "page_id long, url string")
+    found = url_filter.filter_urls(pages, queries.RULES).collect()
+    assert len(found) == len(urls) + 31
+    assert {r.verdict for r in found if r.page_id == 900} == {"block"}
