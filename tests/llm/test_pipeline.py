@@ -27,3 +27,41 @@ def test_stages(spark, tmp_path):
     texts = sorted((r.doc_id, r.text) for r in mixed.collect())
     back = sentencepiece_codec.decode(coded, pieces.load(TOKENIZER)).collect()
     assert sorted((r.doc_id, r.text) for r in back) == texts
+
+
+CLASH = "score double, rate string, copy int, copies int, shuffle_key int, n_words string, kept int, whole_row int, `key` int"
+
+
+def odd_rows(spark):
+    """Documents with nulls, blanks and repeats, and columns named as the operators' own."""
+    some = table(spark, SF, "documents").where("doc_id < 60")
+    texts = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in some.collect()]
+    rows = [*texts, *texts[:9], (None, texts[3][1], None, None, None), (901, None, "en", "a", 0), (902, "", None, "a", 0)]
+    rows += [(903, " \n ", "en", None, 3), (None, None, None, None, None)]
+    extra = (0.5, "r", 7, 8, 9, "w", 1, 2, 3)
+    return spark.createDataFrame(
+        [(*r, *extra) for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {CLASH}"
+    )
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    docs = odd_rows(spark)
+    columns, kinds = docs.columns, dict(docs.dtypes)
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{number}")
+        docs = spark.read.parquet(f"{tmp_path}/{number}")
+        rows = docs.collect()
+        assert rows
+        if number < 4:
+            assert docs.columns == columns and dict(docs.dtypes) == kinds
+            assert {tuple(r)[5:] for r in rows} == {(0.5, "r", 7, 8, 9, "w", 1, 2, 3)}
+            assert all(r.text and r.text.split() for r in rows) or number > 1
+        if number == 1:  # repeats, and the copy without an id, are gone
+            assert len({r.text for r in rows}) == len(rows) == len({r.doc_id for r in rows})
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = odd_rows(spark).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0
