@@ -12,6 +12,14 @@ and read again as the next one's ``docs``. All but the last return the columns o
 5. SentencePiece encoding: texts become pieces.
 
 ``n_chars`` is brought up to date where a stage cuts a text.
+
+Defined results
+* Null, empty and word-free texts fail the quality rules and go in the first stage; a null
+  ``doc_id`` or ``source`` is a value like any other. An empty table passes all stages empty.
+* Rows that repeat a document are near-duplicates of each other: one stays.
+* Stages hand on all columns of ``docs`` as they are, whatever their names; those that an
+  operator adds or reads beside ``doc_id``, ``text`` and ``source`` never meet them. The last
+  stage adds its columns and replaces input columns of their names.
 """
 
 from __future__ import annotations
@@ -20,14 +28,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import mixing, pieces, quality_rules, repeats, sentencepiece_codec, simhash
-from stratalake.llm.common import Scratch, column, table
+from stratalake.llm.common import Scratch, column, packed, table
 from stratalake.llm.queries import RADIUS, SHINGLE, TOKENIZER
 from stratalake.session import prepare
 
+#: Columns that the operators of the first and the fourth stage read.
+READ = ["doc_id", "text", "source"]
+
+
+def operand(docs: DataFrame) -> DataFrame:
+    """What operators read, and the whole row packed where their columns cannot meet its own."""
+    return docs.select(packed(docs).alias("whole_row"), *[column(c) for c in READ])
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col("whole_row")[c].alias(c) for c in docs.columns])
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality_rules.apply_rules(docs, table(spark, sf_dir, "labels"))
-    return judged.where("kept").select(*[column(c) for c in docs.columns])
+    judged = quality_rules.apply_rules(operand(docs), table(spark, sf_dir, "labels"))
+    return unpacked(judged.where("kept"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +61,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).select(*[column(c) for c in docs.columns])
+    return unpacked(mixing.mix(operand(docs)), docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
