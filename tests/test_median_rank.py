@@ -69,3 +69,43 @@ def test_spread_join_of_any_key(spark, kind):
 def test_spread_join_of_both_zeros(spark):
     rows = spark.createDataFrame([(-0.0, 1), (0.0, 2)], "k double, id int")
     assert spread_join(rows, spark.createDataFrame([(0.0, "z")], "k double, z string"), "k").count() == 2
+
+
+MANY = {
+    "subnormal": [0.0, 5e-324] * 50,
+    "two values": [1.0] * 61 + [2.0] * 60,
+    "two values, even": [1.0] * 50 + [2.0] * 50,
+    "one value": [7.0] * 101,
+    "zeros of both signs": [0.0, -0.0] * 40 + [1.0],
+    "infinite ends": [-math.inf] * 30 + [math.inf] * 31,
+    "a third equal": [5.0] * 100 + [rng.gauss(0, 1e6) for _ in range(200)],
+    "sorted": [float(i) for i in range(1000)],
+    "close": [1.0 + i * 2**-52 for i in range(500)],
+}
+
+
+@pytest.mark.parametrize("few, sample", [(4, 9), (1, 2), (30, 400)])
+def test_median_by_brackets(spark, monkeypatch, few, sample):
+    """Also where the sample misses the middle."""
+    from stratalake.functions import median
+
+    monkeypatch.setattr(median, "FEW", few)
+    monkeypatch.setattr(median, "SAMPLE", sample)
+    for name, values in MANY.items():
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+        assert exact_median(df, "v") == statistics.median(values), name
+
+
+def test_median_reads_its_input_once(spark, monkeypatch):
+    from stratalake.functions import median
+
+    seen = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(median, "FEW", 10)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.range(0, 5000, 1, 4).selectExpr("CAST(id AS DOUBLE) AS v").mapInPandas(count, "v double")
+    assert exact_median(df, "v") == 2499.5 and seen.value == 5000
