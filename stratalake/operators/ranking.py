@@ -8,53 +8,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-STEPS_PER_DOUBLING = 16
-SLICES = 1024
+from stratalake.session import run_dir
 
 
-def _join(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
-    """Inner join on the names, NULL being equal to NULL."""
-    other = right.select(*[F.col(n).alias(f"_r_{n}") if n in names else F.col(n) for n in right.columns])
-    on = reduce(lambda a, b: a & b, [left[n].eqNullSafe(other[f"_r_{n}"]) for n in names])
-    return left.join(other, on).drop(*[f"_r_{n}" for n in names])
+def _kept(df: DataFrame, folder: str) -> DataFrame:
+    """The rows, written once and read from there."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def rank_in_group(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """``rank() OVER (PARTITION BY group ORDER BY value DESC NULLS LAST)``, spread over tasks.
 
-    A window by group sorts a whole group in one task. Here equal values are
-    counted first, then cut into steps by magnitude (some thousands per group at most)
-    and each step into ``SLICES`` equal parts between its least and greatest value, so
-    that values close to each other spread too. The counts of the slices give each its
-    offset, and the values of one slice are ranked apart from the others. NULL is a
-    group like any other; NaN ranks before all numbers.
+    A window by group sorts a whole group in one task. Here equal values are counted first, which
+    combines before the shuffle however many rows share one. The counts are dealt out by ranges of
+    group and value, so a large group spreads over many tasks by its values, and written with
+    the number of their range. A value's rank is what earlier ranges hold of its group, carried
+    over, and what its own range holds before it: windows over at most one row a range and
+    group, and over the rows of one range. The ranks are joined to the rows, a hot value's
+    rows being split.
+
+    ``df`` is read once, into the shared folder; so are the counts. The result reads these tables,
+    which stay for the caller to remove. NULL is a group like any other, and ranks behind all
+    values; NaN ranks before all numbers.
     """
-    x = F.col(value).cast("double")
-    finite = F.when(~F.isnan(x), x)
-    step = F.when(F.isnan(x), F.lit(1 << 40)).otherwise(
-        F.signum(x) * F.floor(F.log2(F.abs(x) + 1) * STEPS_PER_DOUBLING)
-    )
-    counted = df.groupBy(group, value).agg(F.count("*").alias("_n")).withColumn("_step", step.cast("bigint"))
-    ends = counted.groupBy(group, "_step").agg(F.min(finite).alias("_low"), F.max(finite).alias("_high"))
-    # Halved, so that the width of a step stays in range.
-    along = (finite / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)
-    wide = F.col("_high") / 2 > F.col("_low") / 2
-    cut = F.when(wide, F.floor(along * SLICES)).otherwise(F.lit(0)).cast("bigint")
-    distinct = _join(counted, ends, [group, "_step"]).withColumn("_slice", cut).drop("_low", "_high")
-
-    down = [F.desc_nulls_last("_step"), F.desc_nulls_last("_slice")]
-    above = W.partitionBy(group).orderBy(*down).rowsBetween(W.unboundedPreceding, -1)
-    slices = (
-        distinct.groupBy(group, "_step", "_slice")
-        .agg(F.sum("_n").alias("_n"))
-        .select(group, "_step", "_slice", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before"))
-    )
-    within = (
-        W.partitionBy(group, "_step", "_slice")
-        .orderBy(F.desc_nulls_last(value))
-        .rowsBetween(W.unboundedPreceding, -1)
+    folder = run_dir(df.sparkSession, "rank")
+    rows = _kept(df, f"{folder}/rows")
+    by_value = F.desc_nulls_last(value)
+    counted = rows.groupBy(group, value).agg(F.count("*").alias("_n"))
+    dealt = counted.repartitionByRange(F.col(group), by_value).withColumn("_range", F.spark_partition_id())
+    ranges = _kept(dealt, f"{folder}/ranges")
+
+    earlier = W.partitionBy(group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        ranges.groupBy(group, "_range")
+        .agg(F.sum("_n").alias("_held"))
+        .select(group, "_range", F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_before"))
     )
-    ranked = distinct.withColumn("_within", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+    first = W.partitionBy("_range", group).orderBy(by_value).rowsBetween(W.unboundedPreceding, -1)
+    within = ranges.withColumn("_within", F.coalesce(F.sum("_n").over(first), F.lit(0)))
+    placed = _join(within, offsets, [group, "_range"])
     rank = F.col("_before") + F.col("_within") + 1
-    ranks = _join(ranked, slices, [group, "_step", "_slice"]).select(group, value, rank.alias(name))
-    return _join(df, ranks, [group, value])
+    ranks = _kept(placed.select(group, value, rank.alias(name)), f"{folder}/ranks")
+    return _join(rows, ranks, [group, value])
+
+
+def _join(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+    """Inner join on the names, NULL being equal to NULL."""
+    other = right.select(*[F.col(n).alias(f"_r_{n}") if n in names else F.col(n) for n in right.columns])
+    on = reduce(lambda a, b: a & b, [left[n].eqNullSafe(other[f"_r_{n}"]) for n in names])
+    return left.join(other, on).drop(*[f"_r_{n}" for n in names])

@@ -109,3 +109,33 @@ def test_median_reads_its_input_once(spark, monkeypatch):
 
     df = spark.range(0, 5000, 1, 4).selectExpr("CAST(id AS DOUBLE) AS v").mapInPandas(count, "v double")
     assert exact_median(df, "v") == 2499.5 and seen.value == 5000
+
+
+def test_rank_with_a_third_of_all_rows_on_one_value(spark):
+    rows = [("a", 5.0)] * 700 + [(rng.choice("ab"), float(rng.randrange(50))) for _ in range(1400)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    got = sorted(map(tuple, rank_in_group(df, "g", "v", "nth").collect()))
+    above = {(g, v): 1 + sum(1 for g2, v2 in rows if g2 == g and v2 > v) for g, v in set(rows)}
+    assert got == sorted((g, v, above[g, v]) for g, v in rows)
+
+
+def test_rank_reads_each_table_once(spark):
+    """The plan of the registered query reads what was written, not the models' inputs."""
+    from stratalake import catalog
+
+    df = catalog.queries()["customer_rank_in_state"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 and "c_custkey" not in plan
+    assert df._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 2
+
+
+def test_rank_ranges_carry_their_offsets(spark):
+    """A large group lies in many ranges, each sorted apart from the others."""
+    rows = [("big", float(i)) for i in range(4000)] + [("small", 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r["g"], r["v"]): r["nth"] for r in rank_in_group(df, "g", "v", "nth").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {("big", float(i)): 4000 - i for i in range(4000)} | {("small", 1.0): 1}
