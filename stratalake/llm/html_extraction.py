@@ -4,12 +4,17 @@ The page is cut into lines, one per block element. Markup goes, and so does what
 lies in elements that never hold the article: menus, footers, forms, scripts and
 whatever names itself an advert, a notice, a sidebar or a comment; but on a page without
 text in ``article`` or ``main``, an element that holds most of the page's unlinked text is
-not judged by its name. What goes leaves no empty line. The lengths of the remaining lines,
-links not counted, are summed over windows of ``WINDOW`` lines. Text surges where a window's
-sum passes the threshold and dives where it falls to zero; lines from a surge to the next
-dive are the main text. Lines in ``article`` or ``main`` count twice and with their links, and a
-surge there takes in the short lines that open the article.
-If one of those holds at least half of the text found, the rest is left out; else all stays.
+not judged by its name, unless that says that it holds comments. An ``article`` is judged by
+whole names only (``comment-body``, not ``comments-open``). What goes leaves no empty line.
+
+The lengths of the remaining lines, links not counted, are summed over windows of ``WINDOW``
+lines. Text surges where a window's sum passes the threshold; lines from a surge to the next
+dive are the main text. It dives where the sums drop sharply, to the threshold or to a third
+of their peak, at a short line that is no sentence or is a copyright notice, and where more
+than ``WINDOW`` lines in a row are links. So a short last paragraph stays and short lines
+of a page's foot go. Lines in ``article`` or ``main`` count twice and with their links, do not dive,
+and a surge there takes in the short lines that open the article. If such lines are at least
+half of the text found, the rest is left out; else all stays.
 
 One page is one row and no row needs another, so the work is a plain map.
 
@@ -69,7 +74,17 @@ ASIDE = frozenset(
     navigation footer foot copyright toolbar pagination pager login signup signin search searchbox
     widget widgets skip dialog contentinfo complementary""".split()
 )
-#: The same for the head of a page; within an article these may hold its title.
+#: Names of elements that hold readers' comments, by whole class, id or role.
+COMMENT = re.compile(
+    r"""(?:(?:user|reader|post|article)[-_]?)?
+    (?:comments?|comment-?list|repl(?:y|ies)|disqus(?:_thread)?|respond|discussion)
+    (?:[-_](?:body|content|text|item|list|thread|wrapper|wrap|box|area|section|block|container|author|meta|\d+))*""",
+    re.X,
+)
+#: Ends of sentences; lines that are none may end an article.
+SENTENCE = re.compile(r"""[.!?…:;。！？]["'”’»)\]]*$""")
+NOTICE = re.compile(r"©|\(c\)\s*\d|\bcopyright\b|all rights reserved", re.I)
+#: Words of elements that are the head of a page; within an article these may hold its title.
 HEAD = frozenset("header masthead topbar head".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
@@ -92,16 +107,21 @@ def set_aside(tag: str, attrs: str, in_main: bool) -> bool:
     return False
 
 
-def named_aside(tag: str, attrs: str, in_main: bool) -> bool:
-    """Whether the element calls itself something that is no part of an article."""
-    if not attrs.strip() or tag in ("html", "body", "main", "article"):
-        return False
+def named_aside(tag: str, attrs: str, in_main: bool) -> str | None:
+    """``comment`` or ``other`` if the element calls itself something that is no part of an article."""
+    if not attrs.strip() or tag in ("html", "body", "main"):
+        return None
+    kind = None
     for name, value in ATTR.findall(attrs):
         if name.lower() in ("class", "id", "role"):
-            words = set(NAMED.findall(value.lower()))
-            if words & ASIDE or not in_main and words & HEAD:
-                return True
-    return False
+            value = value.lower()
+            whole = value.strip("\"'").split()
+            if any(COMMENT.fullmatch(x) for x in whole):
+                return "comment"
+            words = set(whole if tag == "article" else NAMED.findall(value))
+            if words & ASIDE or tag != "article" and not in_main and words & HEAD:
+                kind = "other"
+    return kind
 
 
 class Lines:
@@ -140,8 +160,9 @@ def cut_lines(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, int, i
     ``spared``: places of elements that are not set aside for their names.
     """
     out, pos = Lines(), 0
-    # Open elements, which of them are set aside, and for those so by name the place and the text before.
-    stack: list[tuple[str, bool, tuple[int, int] | None]] = []
+    # Open elements, which of them are set aside, for those so by name the place and the text
+    # before, and whether they hold comments.
+    stack: list[tuple[str, bool, tuple[int, int] | None, bool]] = []
     opened: Counter[str] = Counter()
     aside = never = volume = 0
     held: list[tuple[int, int]] = []
@@ -149,11 +170,11 @@ def cut_lines(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, int, i
     def pop_to(depth: int) -> None:
         nonlocal aside, never
         while len(stack) > depth:
-            tag, was, named = stack.pop()
+            tag, was, named, comment = stack.pop()
             opened[tag] -= 1
             aside -= was
             never -= was and not named
-            if named:
+            if named and not comment:
                 held.append((named[0], volume - named[1]))
             if was and not aside:
                 out.end()
@@ -204,8 +225,8 @@ def cut_lines(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, int, i
         if tag in CLOSED_BY:
             close(CLOSED_BY[tag], ENDS_AT[tag])
         if tag in ("article", "main") and aside and not opened["article"] + opened["main"]:
-            # An unclosed advert or menu does not swallow the article.
-            if not any(x[0] in ("form", "dialog") for x in stack if x[1]):
+            # An unclosed advert or menu does not swallow the article; comments may be articles.
+            if not any(x[0] in ("form", "dialog") or x[3] for x in stack if x[1]):
                 pop_to(next(i for i, x in enumerate(stack) if x[1]))
         if tag == "body" and aside:
             pop_to(next(i for i, x in enumerate(stack) if x[1]))
@@ -213,11 +234,13 @@ def cut_lines(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, int, i
             close_tag = re.compile(f"</{tag}(?=[\\s/>]|\\Z)", re.I).search(page, pos)
             pos = close_tag.start() if close_tag else len(page)
         self_never = set_aside(tag, attrs, out.region > 0)
-        named = not self_never and found.start() not in spared and named_aside(tag, attrs, out.region > 0)
-        self_aside = self_never or named
+        named = None
+        if not self_never and found.start() not in spared:
+            named = named_aside(tag, attrs, out.region > 0)
+        self_aside = self_never or named is not None
         if self_aside and not aside:
             out.end()
-        stack.append((tag, self_aside, (found.start(), volume) if named else None))
+        stack.append((tag, self_aside, (found.start(), volume) if named else None, named == "comment"))
         opened[tag] += 1
         aside += self_aside
         never += self_never
@@ -233,23 +256,29 @@ def main_lines(lines: list[tuple[str, int, int]]) -> list[str]:
     weights = [2 * len(text) if region else n if 2 * n >= len(text) else 0 for text, n, region in lines]
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     surge = min(SURGE, max(sums, default=0) // 2)
-    kept, before, inside = [], [], False
+    kept, before, inside, peak, linked = [], [], False, 0, 0
     for (text, n, region), weight, total in zip(lines, weights, sums, strict=True):
-        inside = total > 0 and (inside or total > surge)
-        if inside and weight:
+        if not weight:
+            linked += 1
+            inside = inside and linked <= WINDOW
+            continue
+        linked = 0
+        if total > surge:
+            peak = max(peak, total) if inside else total
+            inside = True
+        if inside and not region and weight <= surge and total <= max(surge, min(peak // 3, 2 * surge)):
+            inside = bool(SENTENCE.search(text)) and not NOTICE.search(text)
+        if inside:
             # A surge in a marked article reaches back to the article's short first lines.
             kept += [line for line in before if line[2] == region]
             kept.append((text, n, region))
             before = []
         elif region:
             before.append((text, n, region))
-    # If one marked article holds at least half of what was found, it is the page's article.
-    by_region: Counter[int] = Counter()
-    for _, n, region in kept:
-        by_region[region] += n
-    largest = max((r for r in by_region if r), key=by_region.__getitem__, default=0)
-    if largest and 2 * by_region[largest] >= by_region.total():
-        return [text for text, _, region in kept if region == largest]
+    # If marked articles hold at least half of what was found, they are the page's text.
+    marked = sum(n for _, n, region in kept if region)
+    if marked and 2 * marked >= sum(n for _, n, _ in kept):
+        return [text for text, _, region in kept if region]
     return [text for text, _, _ in kept]
 
 
