@@ -401,6 +401,7 @@ QUERIES |= {
         UNION ALL SELECT * FROM g_orders_before WHERE order_id NOT IN (SELECT order_id FROM g_orders
             WHERE order_purchase_timestamp >= TIMESTAMP '2000-07-01 00:00:00')""",
     "newer_orders_by_state": QUERIES["newer_orders"],
+    "reviews_from_quoted_csv": QUERIES["reviews_from_csv"],
     **{f"{name}_on_tables": QUERIES[name] for name in (
         "gold_fct_orders", "gold_dim_customers", "gold_dim_products", "gold_dim_sellers")},
     "dq_relationships_reviews": """SELECT review_id, order_id FROM x_reviews

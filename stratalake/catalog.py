@@ -12,6 +12,7 @@ from stratalake.operators.keys import latest_per_key, newer_than, replace_by_key
 from stratalake.plans import employees, flights, gold, raw, sales, shop_extras, shop_queries, silver
 from stratalake.session import prepare, run_dir
 from stratalake.sources import adapters, files, schemas, tables
+from stratalake.sources.quoted import read_quoted_csv
 from stratalake.streaming.snapshots import (
     REJECTS,
     append_rejects,
@@ -254,9 +255,9 @@ def _employees_from_csv(shop: Shop) -> DataFrame:
     )
 
 
-def _reviews_from_csv(shop: Shop) -> DataFrame:
-    """Reviews written as CSV with line breaks, commas and quotes, read and typed again."""
-    path = run_dir(shop.spark, "reviews_csv")
+def _reviews_csv(shop: Shop, name: str) -> str:
+    """Reviews written as CSV with line breaks, commas and quotes."""
+    path = run_dir(shop.spark, name)
     message = F.concat("review_comment_message", F.lit('\nsaid "no", twice'))
     texts = shop.x("reviews").withColumn("review_comment_message", message)
     stamps = {
@@ -264,7 +265,17 @@ def _reviews_from_csv(shop: Shop) -> DataFrame:
         for c in ("review_creation_date", "review_answer_timestamp")
     }
     texts.withColumns(stamps).write.csv(path, header=True, quote='"', escape='"')
-    return raw.reviews(files.read_csv(shop.spark, path, multi_line=True))
+    return path
+
+
+def _reviews_from_csv(shop: Shop) -> DataFrame:
+    """Read again, each file by one task, and typed."""
+    return raw.reviews(files.read_csv(shop.spark, _reviews_csv(shop, "reviews_csv"), multi_line=True))
+
+
+def _reviews_from_quoted_csv(shop: Shop) -> DataFrame:
+    """Read again, each file by as many tasks as it has splits, and typed."""
+    return raw.reviews(read_quoted_csv(shop.spark, _reviews_csv(shop, "reviews_quoted_csv")))
 
 
 def _categories_from_csv(shop: Shop) -> DataFrame:
@@ -450,6 +461,7 @@ JOBS: dict[str, Callable[[Shop], DataFrame]] = {
     "gold_dim_products_on_tables": _gold_on_tables(gold.dim_products, "products", "items"),
     "gold_dim_sellers_on_tables": _gold_on_tables(gold.dim_sellers, "sellers", "items", "reviews"),
     "reviews_from_csv": _reviews_from_csv,
+    "reviews_from_quoted_csv": _reviews_from_quoted_csv,
     "categories_from_csv": _categories_from_csv,
     "customers_from_csv": lambda t: raw.customers(_csv_of(t, t.messy("customers"), "customers_csv")),
     "sellers_from_csv": lambda t: raw.sellers(_csv_of(t, t.messy("sellers"), "sellers_csv")),

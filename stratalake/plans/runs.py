@@ -8,6 +8,7 @@ from stratalake.operators.keys import latest_per_key
 from stratalake.plans import employees, flights, gold, raw, silver
 from stratalake.sources import schemas, tables
 from stratalake.sources.files import PLACE, read_csv, snake_header, stream_whole_files
+from stratalake.sources.quoted import read_quoted_csv
 from stratalake.streaming.snapshots import ingest_bodies, ingested, rejected
 
 # table -> (file name, job, whether quoted text may hold line breaks)
@@ -51,12 +52,12 @@ def run_raw(
         path = f"{folder}/{(files or {}).get(spec.name, file)}"
         table = tables.layer_table(spec.name, database)
         if append and spec in DIMENSIONS:
-            rows = job(read_csv(spark, path, multi_line=multi_line, place=True))
+            rows = job(read_csv(spark, path, place=True))
             key = spec.sort_by[0]
             tables.upsert_table(spark, latest_per_key(rows, key, PLACE).drop(PLACE), table, key)
             counts[spec.name] = spark.table(table).count()
             continue
-        rows = job(read_csv(spark, path, multi_line=multi_line))
+        rows = job(read_quoted_csv(spark, path) if multi_line else read_csv(spark, path))
         if append:
             tables.create_table(spark, table, spec)
             tables.append_rows(spark, rows, table, spec)

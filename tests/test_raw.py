@@ -126,3 +126,39 @@ def test_snake_header():
     assert [snake_header(h) for h in (" Start Date", "Bonus %", "Team ")] == [
         "start_date", "bonus_percent", "team",
     ]
+
+
+def test_the_last_of_several_rows_of_one_key_in_a_file(spark, tmp_path):
+    """A dimension loaded by append keeps the last line of a key, whatever its columns hold."""
+    import uuid
+
+    from stratalake.plans import runs
+
+    database = f"k4_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION 'file:{tmp_path}/db'")
+    empty = {
+        "products.csv": "product_id,product_category_name,product_weight_g,product_length_cm,product_height_cm,product_width_cm",
+        "categories.csv": "product_category_name,product_category_name_english",
+        "orders.csv": "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
+        "order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date",
+        "order_items.csv": "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value",
+        "payments.csv": "order_id,payment_sequential,payment_type,payment_installments,payment_value",
+        "reviews.csv": "review_id,order_id,review_score,review_comment_title,review_comment_message,"
+        "review_creation_date,review_answer_timestamp",
+        "customers.csv": "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state",
+    }
+    for name, header in empty.items():
+        (tmp_path / name).write_text(header + "\n")
+    header = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    try:
+        (tmp_path / "sellers.csv").write_text(header + "a,1,zeta,Z\nb,1,x,X\na,9,alpha,A\nb,1,x,X\na,5,mid,M\n")
+        runs.run_raw(spark, str(tmp_path), database, append=True)
+        got = {r["seller_id"]: r["seller_city"] for r in spark.table(f"{database}.dim_sellers").collect()}
+        assert got == {"a": "mid", "b": "x"}
+        # A row that repeats counts where it stands last.
+        (tmp_path / "sellers.csv").write_text(header + "a,1,zeta,Z\na,9,alpha,A\na,1,zeta,Z\n")
+        runs.run_raw(spark, str(tmp_path), database, append=True)
+        got = {r["seller_id"]: r["seller_city"] for r in spark.table(f"{database}.dim_sellers").collect()}
+        assert got == {"a": "zeta", "b": "x"}
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
