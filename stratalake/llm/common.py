@@ -31,7 +31,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
-        self.paths: dict[int, str] = {}
+        # The frames are held, so that no other can come to have the id of one of them.
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
 
     def keep(self, df: DataFrame) -> DataFrame:
         """The rows of ``df``, written once and read from there."""
@@ -40,7 +41,7 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         self.tidy()
         read = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(read)] = path
+        self.paths[id(read)] = read, path
         return read
 
     def tidy(self) -> None:
@@ -51,7 +52,7 @@ class Scratch:
 
     def drop(self, df: DataFrame) -> None:
         """Delete a table that ``keep`` returned."""
-        path = self.paths.pop(id(df), None)
+        _, path = self.paths.pop(id(df), (None, None))
         if path:
             jvm = self.spark._jvm
             where = jvm.org.apache.hadoop.fs.Path(path)
