@@ -11,10 +11,12 @@ by all that replies to it, in order of turn, and the quotes are left out.
 
 A message that follows its parent continues that one's chain; each other reply heads a
 chain of its own. In reply order a chain's messages stand together, then come the chains
-that hang on it, the last parent's first. So a message's place is given by the path of
-chains that leads to it, found by doubling, and no conversation is gathered in one
-task: numbers and running sums are taken per range of the sorted messages and carried
-over by a table of one row per range.
+that hang on it, the last parent's first. A walk around this tree enters and leaves each chain
+once; every step of the walk knows the next one, and how many messages are left from a step on
+is found by doubling: each round joins the steps with those they have reached. So a row has a
+fixed width however deep a reply lies, the rounds grow with the logarithm of a conversation's
+length, and no conversation is gathered in one task: numbers, neighbours and running sums are
+taken per range of the sorted rows and carried over by a table of one row per range.
 
 Defined results
 * A null text is an empty message. A null conversation id is one conversation; null
@@ -137,27 +139,58 @@ def chained(replies: DataFrame) -> DataFrame:
     )
 
 
-def paths(chains: DataFrame, scratch: Scratch) -> DataFrame:
-    """chain, and the path of (-parent, head) that leads to it from its conversation's first chain."""
-    step = F.array(F.struct((-F.col("m.parent")).alias("after"), F.col("m.number").alias("head")))
-    none = F.array().cast("array<struct<after:bigint,head:bigint>>")
-    heads = chains.alias("m").where("m.head is not null")
-    now = scratch.keep(
-        heads.join(chains.select(F.col("number").alias("p"), F.col("chain").alias("above")).alias("u"),
-                   F.col("m.parent") == F.col("u.p"), "left")
-        .select(F.col("m.number").alias("chain"), "u.above",
-                F.when(F.col("m.parent").isNull(), none).otherwise(step).alias("path"))
-    )
-    while not now.where("above is not null").isEmpty():
-        up = now.select(F.col("chain").alias("a"), F.col("above").alias("b"), F.col("path").alias("front"))
-        after = scratch.keep(
-            now.join(up, F.col("above") == F.col("a"), "left").select(
-                "chain", F.col("b").alias("above"), F.concat(F.coalesce("front", none), "path").alias("path")
-            )
+def walk(chains: DataFrame, scratch: Scratch) -> DataFrame:
+    """step, next and weight of the walks around the trees of chains: step ``2 * chain`` enters a
+    chain and counts its messages, ``2 * chain + 1`` leaves it."""
+    sizes = chains.groupBy("chain").agg(F.count("*").alias("size"))
+    parents_chain = chains.select(F.col("number").alias("p"), F.col("chain").alias("above"))
+    heads = chains.where("head is not null").select(F.col("number").alias("chain"), "parent")
+    # Of the chains that hang on one, those on its last messages come first.
+    nodes = (
+        heads.join(parents_chain, F.col("parent") == F.col("p"), "left")
+        .join(sizes, "chain")
+        .select("above", (-F.col("parent")).alias("back"), "chain", "size")
+    )
+    order = ["above", "back", "chain"]
+    dealt = scratch.keep(nodes.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    following = Window.partitionBy("range").orderBy(*order)
+    here = F.struct("above", "chain")
+    openings = dealt.groupBy("range").agg(F.min(F.struct(*order)).alias("o")).select(
+        "range", F.lead(F.struct("o.above", "o.chain")).over(Window.orderBy("range")).alias("beyond")
+    )
+    after = F.coalesce(F.lead(here).over(following), F.col("beyond"))
+    beside = dealt.join(openings, "range").select("chain", "above", "size", after.alias("after")).select(
+        "chain", "above", "size", F.when(F.col("after.above") == F.col("above"), F.col("after.chain")).alias("sibling")
+    )
+    inner = dealt.where("above is not null").groupBy(F.col("above").alias("c")).agg(
+        F.min(F.struct("back", "chain"))["chain"].alias("child")
+    )
+    known = beside.join(inner, F.col("chain") == F.col("c"), "left")
+    enter, leave = F.col("chain") * 2, F.col("chain") * 2 + 1
+    steps = F.array(
+        F.struct(enter.alias("step"), F.coalesce(F.col("child") * 2, leave).alias("next"), F.col("size").alias("weight")),
+        F.struct(
+            leave.alias("step"),
+            F.coalesce(F.col("sibling") * 2, F.col("above") * 2 + 1).alias("next"),
+            F.lit(0).cast("long").alias("weight"),
+        ),
+    )
+    return known.select(F.explode(steps).alias("s")).select("s.*")
+
+
+def left_from(steps: DataFrame, scratch: Scratch) -> DataFrame:
+    """step and the messages from it to the end of its walk, by doubling."""
+    now = scratch.keep(steps)
+    while not now.where("next is not null").isEmpty():
+        # Steps that have reached the end stay out of the join: they have no key to meet by.
+        reached = now.select(F.col("step").alias("at"), F.col("next").alias("then"), F.col("weight").alias("more"))
+        going = now.where("next is not null").join(reached, F.col("next") == F.col("at")).select(
+            "step", F.col("then").alias("next"), (F.col("weight") + F.col("more")).alias("weight")
         )
+        after = scratch.keep(now.where("next is null").unionByName(going))
         scratch.drop(now)
         now = after
-    return now.select("chain", "path")
+    return now.select("step", "weight")
 
 
 def link_quotes(rows: DataFrame, scratch: Scratch) -> DataFrame:
@@ -192,20 +225,28 @@ def link_quotes(rows: DataFrame, scratch: Scratch) -> DataFrame:
         .select("m.*", F.coalesce("q.linked", "p.n").alias("parent"), F.coalesce("q.n_linked", F.lit(0)).alias("n_linked"))
     )
     chains = scratch.keep(chained(replies))
-    routed = chains.join(paths(chains, scratch), "chain").select("conv", "path", "number", "parent", "n_linked")
-    placed = numbered(routed.withColumnRenamed("number", "message"), ["conv", "path", "message"], scratch)
-    firsts = placed.groupBy("conv").agg(F.min("number").alias("first"))
+    remaining = left_from(walk(chains, scratch), scratch).where("step % 2 = 0")
+    # Written, so that the join deals both sides out anew and splits a long chain.
+    remaining = scratch.keep(remaining.select((F.col("step") / 2).cast("long").alias("entered"), "weight"))
+    whole = scratch.keep(messages.groupBy("conv").agg(F.count("*").alias("messages")))
+    # What stands before a chain is what its conversation holds less what is left from there on.
+    index = F.col("s.messages") - F.col("e.weight") + F.col("r.number") - F.col("r.chain")
+    placed = (
+        chains.alias("r")
+        .join(remaining.alias("e"), F.col("r.chain") == F.col("e.entered"))
+        .join(whole.alias("s"), F.col("r.conv").eqNullSafe(F.col("s.conv")))
+        .select(F.col("r.number").alias("message"), "r.parent", "r.n_linked", index.alias("reply_index"))
+    )
     turns = messages.select(F.col("number").alias("p"), F.col("turn").alias("parent_turn"))
     return (
         placed.alias("r")
-        .join(firsts.alias("f"), F.col("r.conv").eqNullSafe(F.col("f.conv")))
         .join(messages.alias("m"), F.col("r.message") == F.col("m.number"))
         .join(turns.alias("t"), F.col("r.parent") == F.col("t.p"), "left")
         .select(
             F.col("m.conv").alias("conv_id"),
             "m.turn",
             "m.role",
-            (F.col("r.number") - F.col("f.first")).alias("reply_index"),
+            "r.reply_index",
             "t.parent_turn",
             F.size("m.parsed.quotes").cast("long").alias("n_quotes"),
             F.col("r.n_linked").cast("long").alias("n_linked"),

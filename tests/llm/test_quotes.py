@@ -95,3 +95,37 @@ def test_extra_columns(spark, extra):
 
 def test_empty(spark):
     assert quotes.link_quotes(spark.createDataFrame([], SCHEMA), Scratch(spark, "quotes")).count() == 0
+
+
+def test_a_conversation_of_a_third_of_all_rows(spark):
+    """Threads that interleave, each message quoting its thread's last one, and a message that many
+    quote: deep chains and wide ones, numbered in rows of one width."""
+    import random
+
+    random.seed(11)
+    rows, want = [], {}
+    sizes = {0: 300, **{c: 20 for c in range(1, 31)}}
+    for conv, size in sizes.items():
+        parents = {0: None}
+        rows.append((conv, 0, "u", f"message {conv} 0"))
+        for turn in range(1, size):
+            parent = 0 if turn <= 5 or random.random() < 0.3 else turn - 5
+            parents[turn] = parent
+            rows.append((conv, turn, "u", f"> message {conv} {parent}\nmessage {conv} {turn}"))
+        want[conv] = preorder(parents)
+    random.shuffle(rows)
+    found = linked(spark, rows)
+    for conv, order in want.items():
+        assert [r.turn for r in found if r.conv_id == conv] == order
+        assert [r.reply_index for r in found if r.conv_id == conv] == list(range(len(order)))
+
+
+def test_steps_have_one_width(spark):
+    chains = spark.createDataFrame(
+        [(i, None if i == 0 else max(0, i - 2), None if i == 1 else i, i if i != 1 else 0) for i in range(50)],
+        "number long, parent long, head long, chain long",
+    )
+    steps = quotes.walk(chains, Scratch(spark, "quotes"))
+    assert [t for _, t in steps.dtypes] == ["bigint"] * 3
+    left = {r.step: r.weight for r in quotes.left_from(steps, Scratch(spark, "quotes")).collect()}
+    assert left[0] == 50
