@@ -4,18 +4,22 @@ Two fixed rules come first (too few words, too many words in repeated three-word
 windows). What they leave is described by the statistics of the usual rules as logarithms
 of shares (see ``stats``), and an isolation forest scores how soon random splits of these
 isolate a document from others. The forest grows on a sample of at most ``SAMPLE``
-labelled documents, on those that pass the base rules; small trees (``PER_TREE``) keep
-kinds of junk that occur several times from hiding one another. The threshold is set
-on the same sample: the lowest score at which at least ``KEEP`` of its good documents
-stay. Both are small models on the driver; the statistics of all documents are
-computed and scored in one map without a shuffle.
+labelled documents of the table, on those that pass the base rules; small trees
+(``PER_TREE``) keep kinds of junk that occur several times from hiding one another. The
+threshold is set on all labelled documents: the lowest multiple of ``1 / GRID`` at which at
+least ``KEEP`` of the good ones that pass the base rules stay. Scores are counted per
+multiple and document before they meet the labels, so that no text is moved and no id
+crowds a task. Both are small models on the driver; the statistics of all documents
+are computed and scored in one map without a shuffle, once for the threshold (ids and
+scores alone) and once for the verdict.
 
 Defined results
 * Null and word-free texts have no words and fail the base rules.
 * Without labelled good documents that pass the base rules there is no forest: what
   passes these stays.
-* Labels with null id or quality are not used. Of several labels of one document, the
-  lowest counts. Repeated rows are judged alike; extra columns are passed on, those
+* Labels with null id or quality, or of no document of the table, are not used. Of several
+  labels of one document, the lowest counts. Repeated rows are judged alike, and each of them
+  counts for the threshold; extra columns are passed on, those
   named as a result column are replaced.
 """
 
@@ -40,8 +44,10 @@ SAMPLE = 6000
 TREES, PER_TREE, SEED = 300, 16, 42
 #: Added to a share before the logarithm is taken.
 LEAST = 0.01
-#: Share of the sample's good documents that must stay.
+#: Share of the good documents that must stay.
 KEEP = 0.995
+#: Steps of the threshold: so many counts at most come to the driver.
+GRID = 1 << 16
 LEAST_WORDS = 50
 SYMBOL = re.compile(r"[#*$%&|<>]")
 RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
@@ -113,21 +119,25 @@ class Model:
         return self.forest.score(features)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Text and quality of at most SAMPLE labelled documents."""
-    known = (
+def known_quality(labels: DataFrame) -> DataFrame:
+    """doc_id and quality, one row per labelled document."""
+    return (
         labels.where(column("doc_id").isNotNull() & column("quality").isNotNull())
         .groupBy(column("doc_id").alias("doc_id"))
         .agg(F.min(column("quality")).alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(SAMPLE)
     )
+
+
+def labelled_sample(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Text of at most SAMPLE of the documents that have a label."""
     texts = docs.select(column("doc_id").alias("doc_id"), column("text").alias("text"))
-    return texts.join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality")
+    present = texts.select("doc_id").distinct()
+    chosen = known.join(present, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    return texts.join(F.broadcast(chosen.select("doc_id")), "doc_id")
 
 
-def train(sample: DataFrame) -> Model | None:
-    """A forest of the sample and the threshold that keeps its good documents.
+def train(sample: DataFrame) -> Forest | None:
+    """A forest of the sample's documents that pass the base rules.
 
     The sample's features come to the driver: at most SAMPLE rows, one per id.
     """
@@ -137,20 +147,48 @@ def train(sample: DataFrame) -> Model | None:
         found = [stats(t if isinstance(t, str) else None) for t in texts]
         return pd.DataFrame({"base_failed": [s.base_failed for s in found], "features": [s.features for s in found]})
 
-    rows = (
-        sample.select("doc_id", "quality", udf("text").alias("s"))
-        .groupBy("doc_id")
-        .agg(F.min("s").alias("s"), F.min("quality").alias("quality"))
-        .orderBy("doc_id")
+    rows = sample.select("doc_id", udf("text").alias("s")).groupBy("doc_id").agg(F.min("s").alias("s")).orderBy("doc_id").collect()
+    # Not a filter on the DataFrame, which would run the UDF on all rows before the join.
+    passing = [r["s"]["features"] for r in rows if not r["s"]["base_failed"]]
+    return Forest.grow(np.array(passing), TREES, PER_TREE, SEED) if passing else None
+
+
+def calibrated(docs: DataFrame, known: DataFrame, forest: Forest) -> float | None:
+    """The lowest multiple of 1 / GRID that keeps KEEP of all good documents; none: no good one."""
+
+    @pandas_udf("long")
+    def step(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            found = [stats(t if isinstance(t, str) else None) for t in texts]
+            passing = [i for i, s in enumerate(found) if not s.base_failed]
+            out = pd.Series([None] * len(found), dtype="Int64")
+            if passing:
+                scores = forest.score(np.array([found[i].features for i in passing]))
+                out.iloc[passing] = np.ceil(scores * GRID).astype(np.int64)
+            yield out
+
+    scored = docs.select(column("doc_id").alias("doc_id"), step(column("text")).alias("step"))
+    counts = (
+        scored.where("step is not null")
+        .groupBy("doc_id", "step")
+        .agg(F.count("*").alias("n"))
+        .join(known.where("quality > 0"), "doc_id", "left_semi")
+        .groupBy("step")
+        .agg(F.sum("n").alias("n"))
+        .orderBy("step")
         .collect()
     )
-    # Not a filter on the DataFrame, which would run the UDF on all rows before the join.
-    passing = [r for r in rows if not r["s"]["base_failed"]]
-    good = np.array([r["s"]["features"] for r in passing if r["quality"] > 0])
-    if not len(good):
+    if not counts:
         return None
-    forest = Forest.grow(np.array([r["s"]["features"] for r in passing]), TREES, PER_TREE, SEED)
-    return Model(forest, float(np.quantile(forest.score(good), KEEP, method="higher")))
+    upto = np.cumsum([r["n"] for r in counts])
+    return counts[int(np.searchsorted(upto, KEEP * upto[-1]))]["step"] / GRID
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> Model | None:
+    known = known_quality(labels)
+    forest = train(labelled_sample(docs, known))
+    threshold = calibrated(docs, known, forest) if forest else None
+    return None if threshold is None else Model(forest, threshold)
 
 
 def judge(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -177,4 +215,4 @@ def judge(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return judge(docs, train(labelled_sample(docs, labels)))
+    return judge(docs, fitted(docs, labels))
