@@ -168,16 +168,17 @@ def calibrated(docs: DataFrame, known: DataFrame, forest: Forest) -> float | Non
             yield out
 
     scored = docs.select(column("doc_id").alias("doc_id"), step(column("text")).alias("step"))
+    # Nulls, of documents that fail the base rules, are left out at the end: a filter on the step
+    # would run the UDF a second time.
     counts = (
-        scored.where("step is not null")
-        .groupBy("doc_id", "step")
+        scored.groupBy("doc_id", "step")
         .agg(F.count("*").alias("n"))
         .join(known.where("quality > 0"), "doc_id", "left_semi")
         .groupBy("step")
         .agg(F.sum("n").alias("n"))
-        .orderBy("step")
         .collect()
     )
+    counts = sorted((r for r in counts if r["step"] is not None), key=lambda r: r["step"])
     if not counts:
         return None
     upto = np.cumsum([r["n"] for r in counts])
