@@ -124,30 +124,31 @@ LATE = "2000-07-01 00:00:00"
 
 
 class SilverTables:
-    """Silver written as tables, the facts bucketed and sorted by order, as ``run_layers`` does
-    with ``buckets``; a table is written when it is first asked for."""
+    """The named tables of silver, written when asked for, the facts bucketed and sorted by order,
+    as ``run_layers`` does with ``buckets``, into as many buckets as the largest asks for."""
 
-    BUCKETS = 8
+    DIMENSIONS = ("customers", "sellers", "products")
     SORTED = {"items": "order_item_id", "payments": "payment_sequential", "reviews": "review_id"}
 
-    def __init__(self, shop: Shop):
+    def __init__(self, shop: Shop, *names: str):
         self.shop = shop
         self.database = _scratch_database(shop.spark, "silver")
+        self.buckets = tables.bucket_number(*[shop.s(name) for name in names if name not in self.DIMENSIONS])
 
     def table(self, name: str) -> DataFrame:
         table = tables.layer_table(name, self.database)
         rows = self.shop.s(name)
-        if name in ("customers", "sellers", "products"):
+        if name in self.DIMENSIONS:
             tables.replace_table(self.shop.spark, rows, table, (rows.columns[0],))
         else:
             by = ("order_id", *([self.SORTED[name]] if name in self.SORTED else []))
-            tables.replace_table(self.shop.spark, rows, table, by, ("order_id", self.BUCKETS))
+            tables.replace_table(self.shop.spark, rows, table, by, ("order_id", self.buckets))
         return self.shop.spark.table(table)
 
 
 def _gold_on_tables(model: Callable[..., DataFrame], *names: str) -> Callable[[Shop], DataFrame]:
     def job(shop: Shop) -> DataFrame:
-        silver_tables = SilverTables(shop)
+        silver_tables = SilverTables(shop, *names)
         return model(*[silver_tables.table(name) for name in names])
 
     return job

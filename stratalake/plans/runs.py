@@ -78,8 +78,8 @@ def run_layers(
 
     Tables are replaced, but for the fact table, which replaces orders by key.
     Gold reads the written silver tables, so no cleaning runs twice. With ``buckets``, a
-    number that leaves a file of a fact some hundred MB, the silver facts are bucketed and
-    sorted by order, and gold joins and groups by order without a shuffle.
+    number as ``tables.bucket_number`` finds it, the silver facts are bucketed and sorted by
+    order, and gold joins and groups by order without a shuffle.
     """
     _databases(spark, silver_db, gold_db)
 

@@ -132,7 +132,8 @@ def replace_table(
 
     ``buckets`` names a column and a number: rows are dealt to as many files by that column and
     sorted by ``sort_by`` within, so that joins and groupings by it need no shuffle. One task
-    reads a bucket, so a column with hot keys is none to bucket by. Returns the number of rows.
+    reads a bucket, so the number has to grow with the table (``bucket_number``), and a column
+    with hot keys is none to bucket by. Returns the number of rows.
     """
     restore_table(spark, table)
     clean_table(spark, table)
@@ -150,6 +151,18 @@ def replace_table(
     return counted.get["n"]
 
 
+#: A task reads one bucket of every table a job joins; so many rows take it under 2 GB in all
+#: steps of ``gold.fct_orders`` together, and tables of few rows still give every core a bucket.
+ROWS_PER_BUCKET, FEWEST_BUCKETS = 500_000, 8
+
+
+def bucket_number(*facts: DataFrame) -> int:
+    """Into how many buckets to deal tables that are joined by their bucket column: as many as
+    the largest of them asks for, so that a bucket does not grow with its table."""
+    rows = max((df.count() for df in facts), default=0)
+    return max(FEWEST_BUCKETS, -(-rows // ROWS_PER_BUCKET))
+
+
 def _switch(spark: SparkSession, table: str, staged: str) -> None:
     if not spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")

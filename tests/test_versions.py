@@ -7,6 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake import catalog
 from stratalake.sources import folders, schemas, tables
 
 ts = datetime.datetime
@@ -177,6 +178,26 @@ def test_upsert_stopped_between_months(spark, database, monkeypatch):
     assert not stopped
 
 
+def test_buckets_grow_with_the_largest_table(spark, monkeypatch):
+    assert tables.bucket_number() == tables.bucket_number(spark.range(0), spark.range(100)) == tables.FEWEST_BUCKETS
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 10)
+    assert tables.bucket_number(spark.range(100), spark.range(201)) == 21
+
+
+def test_silver_facts_are_dealt_by_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 100)
+    spark.range(900).selectExpr(
+        "id DIV 3 AS l_orderkey", "id AS l_partkey", "id % 7 AS l_suppkey", "CAST(id % 3 AS INT) AS l_linenumber",
+        "1.0D AS l_quantity", "2.0D AS l_extendedprice", "0.0D AS l_discount", "0.0D AS l_tax", "'N' AS l_returnflag",
+        "TIMESTAMP_NTZ '2000-01-01 00:00:00' AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    silver = catalog.SilverTables(catalog.Shop(spark, str(tmp_path)), "items")
+    assert silver.table("items").count() == 900
+    known = spark.sql(f"DESCRIBE TABLE EXTENDED {silver.database}.items")
+    assert known.where("col_name = 'Num Buckets'").first()["data_type"] == "9"
+    spark.sql(f"DROP DATABASE {silver.database} CASCADE")
+
+
 def test_buckets_join_without_exchange(spark, database):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
