@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -270,12 +271,23 @@ def upsert_months(
     new folder, in one step a month: a reader finds a month's old rows or its new ones, and
     files of other months are not even read. A run that is stopped between two months is
     repeated as a whole, with the same result. Old folders stay until the next run.
+
+    The new rows are computed once and kept on disk: the touched months, the ranges and the write
+    all read them.
     """
     rows = new.withColumn(MONTH, F.coalesce(F.date_format(month_of, "yyyyMM"), F.lit(NO_MONTH)))
     if not spark.catalog.tableExists(table):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
         spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({MONTH})")
     clean_table(spark, table)
+    rows.persist(StorageLevel.DISK_ONLY)
+    try:
+        return _upsert_months(spark, rows, table, key)
+    finally:
+        rows.unpersist()
+
+
+def _upsert_months(spark: SparkSession, rows: DataFrame, table: str, key: str) -> list[str]:
     old = spark.table(table)
     keys = rows.select(key).distinct()
     held = old.select(key, MONTH).join(keys, key, "left_semi").select(MONTH).distinct()

@@ -148,6 +148,21 @@ def test_upsert_leaves_other_months_alone(spark, database):
     assert values(spark.table(table).drop("ym")) == sorted(want.values(), key=str)
 
 
+def test_upsert_computes_new_rows_once(spark, database):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(v):
+        seen.add(1)
+        return v
+
+    table, counted = f"{database}.facts", F.udf(count, "int")
+    rows = spark.createDataFrame([(str(i), i, ts(2024, 1 + i % 3, 1)) for i in range(10)], FACTS)
+    for n in (1, 2):
+        tables.upsert_months(spark, rows.withColumn("v", counted("v")), table, "id", "at")
+        assert seen.value == 10 * n
+    assert spark.table(table).count() == 10
+
+
 def test_upsert_empties_a_month(spark, database):
     table = f"{database}.facts"
     tables.upsert_months(spark, spark.createDataFrame([("a", 1, ts(2024, 1, 1))], FACTS), table, "id", "at")
