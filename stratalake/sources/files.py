@@ -95,8 +95,9 @@ def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
     return _named(spark.read.text(path, wholetext=True))
 
 
-def stream_whole_files(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same of files as they land."""
+def stream_whole_files(spark: SparkSession, path: str, files_per_batch: int = 20_000) -> DataFrame:
+    """The same of files as they land. A batch has several jobs and a folder of its own, which
+    takes seconds whatever its size, so a backlog of small files goes in few large ones."""
     reader = spark.readStream.format("text").option("wholetext", True)
     return _named(reader.option("maxFilesPerTrigger", files_per_batch).load(path))
 

@@ -102,3 +102,13 @@ def test_months_are_sorted_and_files_few(spark, tmp_path):
         ranges = sorted((rows[0][0], rows[-1][0]) for (m, _), rows in by_file.items() if m == month)
         assert len(ranges) <= 8 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
     assert "PartitionFilters: [isnotnull(ym" in table.where("ym = '202610'")._jdf.queryExecution().toString()
+
+
+def test_a_backlog_of_small_files_is_one_batch(spark, tmp_path):
+    for i in range(1100):
+        write(tmp_path / "in", f"{i}.json", body(i, f"n{i}") if i % 2 else '{"time":\n 1')
+    texts = stream_whole_files(spark, f"{tmp_path}/in")
+    query = snapshots.ingest_bodies(texts, f"{tmp_path}/t", f"{tmp_path}/r", f"{tmp_path}/c")
+    query.awaitTermination()
+    assert snapshots.ingested(spark, f"{tmp_path}/t").count() == snapshots.rejected(spark, f"{tmp_path}/r").count() == 550
+    assert [p.name for p in (tmp_path / "c" / "commits").iterdir() if p.name.isdigit()] == ["0"]
