@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import exact_sum, money, round2, safe_ratio
-from stratalake.operators.grouping import totals_and_distincts
+from stratalake.operators.grouping import totals_and_distincts, totals_and_distincts_of
 from stratalake.operators.joins import spread_join
 from stratalake.operators.reviews import review_totals
 
@@ -163,7 +163,8 @@ def order_details(
     Every join is on ``order_id`` between sides already aggregated by it.
     """
     price, freight = F.col("price"), F.col("freight_value")
-    sold = totals_and_distincts(
+    sold = totals_and_distincts_of(
+        orders,
         items,
         "order_id",
         [

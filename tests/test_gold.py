@@ -3,7 +3,9 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from stratalake.operators.grouping import totals_and_distincts, totals_and_distincts_of
 from stratalake.plans import gold, shop_extras, silver
 
 ts = datetime.datetime
@@ -157,3 +159,17 @@ def test_unmatched_category(spark, shop):
     got = by(silver.dim_products(products, names), "product_id")
     assert got["p"]["product_category_english"] == "one"
     assert got["z"]["product_category_english"] == "unknown"
+
+
+def test_totals_and_distincts_of_moves_rows_once(spark):
+    rows = [(str(i % 5) if i % 11 else None, i % 3 if i % 4 else None, str(i % 7), float(i)) for i in range(200)]
+    rows += [("hot", i % 30, None, 1.0) for i in range(300)]
+    items = spark.createDataFrame(rows, "k string, a int, b string, v double")
+    keys = spark.createDataFrame([("0",), ("0",), ("3",), ("hot",), (None,), ("none",)], "k string")
+    parts = [F.sum("v").alias("v"), F.count("*").alias("n")], {"as_": "a", "bs": "b"}
+    found = totals_and_distincts_of(keys, items, "k", parts[0], **parts[1])
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    want = totals_and_distincts(items, "k", parts[0], **parts[1]).where("k IN ('0', '3', 'hot')")
+    assert found.schema.names == want.schema.names
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert ("hot", 300.0, 300, 30, 0) in map(tuple, found.collect())
