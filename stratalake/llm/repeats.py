@@ -361,7 +361,9 @@ def without_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     def cut(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
         return pd.Series([cut_words(t, b, e) for t, b, e in zip(texts, begins, ends)], dtype=object)
 
-    found = spans(docs, scratch).where("size(cut_begins) > 0")
+    # Written before the filter, so that a task holds one Python worker: the filter would merge a
+    # second time, and the join would cut in the task that merges.
+    found = scratch.keep(spans(docs, scratch)).where("size(cut_begins) > 0")
     held = docs.select(packed(docs).alias("row"), column("doc_id").alias("doc_id"), F.xxhash64(column("text")).alias("text_hash"))
     both = held.alias("d").join(found.alias("s"), _same_text("d", "s"), "left")
     # Rows without repeats bypass Python.

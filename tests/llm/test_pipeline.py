@@ -1,6 +1,10 @@
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+
 import corpus_pipeline
 from stratalake.llm import pieces, sentencepiece_codec
-from stratalake.llm.common import table
+from stratalake.llm.common import Scratch, table
 from stratalake.llm.queries import TOKENIZER
 from tests.llm.test_near_copies import brute_fingerprint, brute_spans
 
@@ -65,3 +69,32 @@ def test_stages_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_stages_hand_python_small_batches(spark):
+    """12 MB of texts in one partition reach a worker in several batches, after any stage's call."""
+
+    @pandas_udf("long")
+    def held(texts: pd.Series) -> pd.Series:
+        return pd.Series([sum(map(len, texts))] * len(texts))
+
+    docs = odd_rows(spark).limit(0)
+    large = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 4000).alias("text"))
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, docs, SF)
+        assert large.select(held("text").alias("n")).agg(F.max("n")).first()[0] < 5_000_000
+
+
+def python_steps(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("ArrowEvalPython") + plan.count("MapInArrow")
+
+
+def test_cutting_repeats_takes_one_worker_a_task(spark, monkeypatch):
+    """No table that is written on the way, nor the result, has two Python steps behind it."""
+    docs, found, keep = odd_rows(spark), [], Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df: found.append(python_steps(df)) or keep(self, df))
+    cut = corpus_pipeline.cut_repeats(spark, docs, SF)
+    assert python_steps(cut) == 1 and max(found) == 1
+    assert cut.count() == docs.count()
