@@ -115,7 +115,9 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     pairs = (
-        keyed.join(sizes, ["t", "key"])
+        # Spark takes the exploded rows for as few as the fingerprints and would broadcast them.
+        keyed.hint("merge")
+        .join(sizes, ["t", "key"])
         .select("t", "key", "fp", blocks.alias("blocks"))
         .select("t", "key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .select("t", "key", "fp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))

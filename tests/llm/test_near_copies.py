@@ -153,3 +153,10 @@ def test_joins_with_a_hot_root_are_split(spark):
     assert "hashpartitioning(u" in plan and "_spread" in plan
     found = components.components(edges, Scratch(spark, "t"))
     assert found.count() == 2999 and found.select("root").distinct().count() == 1
+
+
+def test_exploded_fingerprints_are_not_broadcast(spark):
+    """Each fingerprint becomes 31 rows, which Spark's size of the table leaves out."""
+    prints = Scratch(spark, "t").keep(spark.range(2000).select(F.xxhash64("id").alias("fp")))
+    plan = simhash.links(prints, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
