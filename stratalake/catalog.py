@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratalake.operators import quality
 from stratalake.operators.keys import latest_per_key, newer_than, replace_by_key, stack_rows
 from stratalake.plans import employees, flights, gold, raw, sales, shop_extras, shop_queries, silver
-from stratalake.session import prepare, run_dir
+from stratalake.session import one_group_at_a_time, prepare, run_dir
 from stratalake.sources import adapters, files, schemas, tables
 from stratalake.sources.quoted import read_quoted_csv
 from stratalake.streaming.snapshots import (
@@ -217,7 +217,8 @@ def _ingest_bodies(shop: Shop, base: str) -> None:
     printed = F.concat(F.lit('{"time": '), F.col("time"), F.lit(',\n "states": [\n'), F.array_join("states", ",\n"), F.lit("\n]}"))
     hours = bodies.where(even).groupBy(hour.alias("time")).agg(F.collect_list(state).alias("states"))
     one_a_file = {"maxRecordsPerFile": 1}
-    hours.select(printed.alias("value")).write.mode("append").options(**one_a_file).text(landing)
+    with one_group_at_a_time(shop.spark):
+        hours.select(printed.alias("value")).write.mode("append").options(**one_a_file).text(landing)
     broken = shop.base("events").where("event_id % 311 = 0").selectExpr(
         """concat('{"time":\n ', CAST(event_id AS STRING)) AS value"""
     )

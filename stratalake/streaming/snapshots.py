@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from contextlib import ExitStack
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.plans.flights import flight_states, stamped
 from stratalake.sources import schemas
-from stratalake.sources.files import REJECTED, SNAPSHOT_SCHEMA, snapshots_in
+from stratalake.sources.files import REJECTED, SNAPSHOT_SCHEMA, landed_bodies
 from stratalake.sources.tables import MONTH, laid_out, with_month
 
 
@@ -43,8 +44,9 @@ def append_states(snapshots: DataFrame, table_path: str, checkpoint: str) -> Str
 LOAD = "load"
 
 
-def ingest_bodies(texts: DataFrame, table_path: str, rejects_path: str, checkpoint: str) -> StreamingQuery:
-    """Process the whole files that have landed and stop; call again for the next hour.
+def ingest_bodies(landed: DataFrame, table_path: str, rejects_path: str, checkpoint: str) -> StreamingQuery:
+    """Process the files that have landed (``stream_whole_files``) and stop; call again for the next
+    hour.
 
     Both tables come from one batch: a file is read once, its snapshots go to the table, sorted by
     time and aircraft within each month, and what is no snapshot goes to the rejects. A
@@ -56,18 +58,16 @@ def ingest_bodies(texts: DataFrame, table_path: str, rejects_path: str, checkpoi
     def write(batch: DataFrame, number: int) -> None:
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = f"{LOAD}={stream}-{number}"
-        bodies = snapshots_in(batch).persist(StorageLevel.DISK_ONLY)
-        try:
+        with ExitStack() as held:
+            bodies = landed_bodies(batch.sparkSession, batch.collect(), held)
             rows = stamped(flight_states(bodies.where("is_snapshot")))
             months = laid_out(rows, schemas.RAW_FLIGHTS).write.mode("overwrite").partitionBy(MONTH)
             months.parquet(f"{table_path}/{folder}")
             rejects = bodies.where(~F.col("is_snapshot")).select("file", "body", "time", F.size("states").alias("n_states"))
             rejects.write.mode("overwrite").parquet(f"{rejects_path}/{folder}")
-        finally:
-            bodies.unpersist()
 
     return (
-        texts.writeStream.foreachBatch(write)
+        landed.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,9 +1,11 @@
 """Whole-body snapshots: any layout of JSON, rejects, layout of the table, repeated batches."""
 
 import json
+from contextlib import ExitStack
 
 from pyspark.sql import functions as F
 
+from stratalake.sources import files
 from stratalake.sources.files import read_whole_files, snapshots_in, stream_whole_files
 from stratalake.streaming import snapshots
 from tests.test_flights import state
@@ -112,3 +114,34 @@ def test_a_backlog_of_small_files_is_one_batch(spark, tmp_path):
     query.awaitTermination()
     assert snapshots.ingested(spark, f"{tmp_path}/t").count() == snapshots.rejected(spark, f"{tmp_path}/r").count() == 550
     assert [p.name for p in (tmp_path / "c" / "commits").iterdir() if p.name.isdigit()] == ["0"]
+
+
+def test_large_files_of_a_body_a_line_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    """The same bodies as of whole files, whatever comes first in a file, and no task holds the file."""
+    cases = {
+        "lines": "\n".join(body(i, f"n{i}") for i in range(2000)) + "\n{\n",
+        "broken first": "<busy>\n \n" + body(1, "a") + "\n\n" + body(2, "b") + "\r\n",
+        "half first": body(1, "a")[:-3] + "\n" + body(2, "b"),
+        "white first": "\t\n\r\n" + body(1, "a", indent=1) + "\n" + body(2, "b"),
+        "nested": '{"time": 1, "other":\n' + body(2, "b") + "\n}",
+        "white and nested": '\r\n{"time": 1, "other":\n' + body(2, "b") + "\n}",
+        "array [1]": "[\n" + body(1, "a") + "\n]",
+        "pretty": body(3, "a", "b", indent=1),
+        "page": "<html>\nbusy\n</html>\n",
+        "one": body(4, "a") + "\n",
+    }
+    for name, text in cases.items():
+        write(tmp_path / "in", f"{name}.json", text)
+    landed = spark.read.format("binaryFile").load(f"{tmp_path}/in").select("path", "length").collect()
+    want = snapshots_in(read_whole_files(spark, f"{tmp_path}/in")).collect()
+    monkeypatch.setattr(files, "LARGE_FILE", 10)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        with ExitStack() as held:
+            found = files.landed_bodies(spark, landed, held)
+            rows = found.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(map(repr, map(tuple, want))) == sorted(repr(tuple(r)[:-1]) for r in rows)
+    assert len({r["task"] for r in rows if r["file"].endswith("/lines.json")}) > 4
+    assert any("array%20" in r["file"] for r in rows)
